@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.near import classes, expanded, near_duplicates
 from millrace.llm.outward import outward_duplicates
 from millrace.session import materialise, table
 
@@ -26,8 +27,26 @@ def p1_collapsed(spark: SparkSession, folder: str) -> DataFrame:
     return _pairs_of_copies(spark, folder).groupBy(F.col("rep").alias("pair_id")).agg(F.count(F.lit(1)).alias("n_copies"))
 
 
+def _near_sft(spark: SparkSession, folder: str):
+    text = F.concat_ws("\n", F.transform("messages", lambda m: F.coalesce(m["content"], F.lit(""))))
+    return near_duplicates(table(spark, folder, "sft_records").select(F.col("rec_id").alias("id"), text.alias("text")), materialise)
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """All pairs of records whose three-word sequences agree to at least 0.6."""
+    return expanded(_near_sft(spark, folder))
+
+
+def p3_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per record that belongs with others: its class and its number of links."""
+    found = classes(_near_sft(spark, folder), materialise)
+    return found.select(F.col("id").alias("rec_id"), "class_id", "n_links")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_collapsed": p1_collapsed,
+    "p3_found": p3_found,
+    "p3_classes": p3_classes,
 }
 ORACLES: dict[str, str] = {}
