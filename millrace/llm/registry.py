@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.defects import broken_pairs
 from millrace.llm.near import classes, expanded, near_duplicates
 from millrace.llm.outward import outward_duplicates
 from millrace.session import materialise, table
@@ -43,10 +44,33 @@ def p3_classes(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("rec_id"), "class_id", "n_links")
 
 
+def question_answer_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """User turns directly followed by an assistant turn, and both answers of each preference pair."""
+    turn = F.expr("filter(transform(messages, (m, i) -> struct(i AS turn, m.role AS role, m.content AS answer, get(messages, i - 1) AS asked)), x -> x.role = 'assistant' AND x.asked.role = 'user')")
+    sft = table(spark, folder, "sft_records").select("rec_id", F.explode(turn).alias("t"))
+    sft = sft.select(F.lit("sft_records").alias("src_table"), F.col("rec_id").alias("row_id"), F.lit("messages").alias("field"), F.col("t.turn").alias("turn"), F.col("t.asked.content").alias("question"), F.col("t.answer").alias("answer"))
+    dpo = table(spark, folder, "dpo_records").withColumn("question", F.expr("get(filter(messages, m -> m.role = 'user'), 0).content"))
+    both = F.explode(F.array(*[F.struct(F.lit(k).alias("field"), F.col(f"{k}.content").alias("answer")) for k in ("chosen", "rejected")])).alias("t")
+    dpo = dpo.select("pair_id", "question", both).select(F.lit("dpo_records").alias("src_table"), F.col("pair_id").alias("row_id"), F.col("t.field").alias("field"), F.lit(0).alias("turn"), "question", F.col("t.answer").alias("answer"))
+    return sft.unionByName(dpo)
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every defective answer with its kind of defect."""
+    return broken_pairs(question_answer_pairs(spark, folder), materialise)
+
+
+def p4_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Number of defective answers by table, field and kind."""
+    return p4_found(spark, folder).groupBy("src_table", "field", "defect").agg(F.count(F.lit(1)).alias("n_answers"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_collapsed": p1_collapsed,
     "p3_found": p3_found,
+    "p4_found": p4_found,
+    "p4_summary": p4_summary,
     "p3_classes": p3_classes,
 }
 ORACLES: dict[str, str] = {}
