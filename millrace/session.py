@@ -10,8 +10,12 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
+import sys
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,8 +84,30 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on the executors, once a context.
+
+    A zip of the sources is served by the driver; where the package is
+    installed on the workers already, theirs is found first or is the same.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="millrace-")  # read by the driver's file server only
+    atexit.register(shutil.rmtree, folder, True)
+    name = os.path.join(folder, "millrace_sources.zip")
+    with zipfile.ZipFile(name, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, Path(root.name) / source.relative_to(root))
+    context.addPyFile(name)
+    sys.path[:] = [x for x in sys.path if not x.endswith("millrace_sources.zip")]
+    context._millrace_shipped = True
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One test-layout table: ``folder/name.parquet`` (file or directory)."""
+    ship(spark)
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
