@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.defects import broken_pairs
+from millrace.llm.mixing import TOKENIZERS, Mix, mix_sources, token_counts
 from millrace.llm.near import classes, expanded, near_duplicates
 from millrace.llm.outward import outward_duplicates
+from millrace.llm.packing import QUADRATIC, pack
 from millrace.session import materialise, table
 
 
@@ -65,12 +67,55 @@ def p4_summary(spark: SparkSession, folder: str) -> DataFrame:
     return p4_found(spark, folder).groupBy("src_table", "field", "defect").agg(F.count(F.lit(1)).alias("n_answers"))
 
 
+#: Characters a training sequence holds.
+SEQUENCE_CHARS = 11_000
+
+
+def _packed(spark: SparkSession, folder: str) -> DataFrame:
+    chars = F.expr("aggregate(messages, 0L, (n, m) -> n + coalesce(length(m.content), 0))")
+    return pack(table(spark, folder, "sft_records").select(F.col("rec_id").alias("id"), chars.alias("n")), SEQUENCE_CHARS, materialise)
+
+
+def p5_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    """Sequence number and offset of every record (of every piece, where one is divided)."""
+    return _packed(spark, folder).select(F.col("id").alias("rec_id"), "piece", "length", "sequence", "offset")
+
+
+def p5_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """Sequences, characters, least possible number of sequences, and how balanced the costs are."""
+    packed = _packed(spark, folder)
+    cost = F.col("length") + F.col("length") * F.col("length") * F.lit(QUADRATIC)
+    each = packed.groupBy("sequence").agg(F.sum("length").alias("used"), F.sum(cost).alias("cost"))
+    least = F.ceil(F.sum("used") / SEQUENCE_CHARS).alias("least_sequences")
+    return each.agg(F.count(F.lit(1)).alias("n_sequences"), F.sum("used").alias("n_chars"), least, F.avg(F.col("used") / SEQUENCE_CHARS).alias("mean_fill"), (F.stddev("cost") / F.avg("cost")).alias("cost_spread"))
+
+
+def _mix(spark: SparkSession, folder: str) -> Mix:
+    documents = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "source", "text")
+    sized = token_counts(documents, f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    return mix_sources(sized, table(spark, folder, "mix_targets"), materialise)
+
+
+def p7_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The chosen documents with their repeats."""
+    return _mix(spark, folder).chosen.select(F.col("id").alias("doc_id"), "source", "tokens", "repeats", "finish")
+
+
+def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The shares reached, by target."""
+    return _mix(spark, folder).shares
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_collapsed": p1_collapsed,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_summary": p4_summary,
+    "p5_sequences": p5_sequences,
+    "p5_fill": p5_fill,
+    "p7_mix": p7_mix,
+    "p7_shares": p7_shares,
     "p3_classes": p3_classes,
 }
 ORACLES: dict[str, str] = {}
