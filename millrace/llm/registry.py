@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.defects import broken_pairs
+from millrace.llm.leakage import leaked_items
 from millrace.llm.mixing import TOKENIZERS, Mix, mix_sources, token_counts
 from millrace.llm.near import classes, expanded, near_duplicates
 from millrace.llm.outward import outward_duplicates
@@ -90,6 +91,19 @@ def p5_fill(spark: SparkSession, folder: str) -> DataFrame:
     return each.agg(F.count(F.lit(1)).alias("n_sequences"), F.sum("used").alias("n_chars"), least, F.avg(F.col("used") / SEQUENCE_CHARS).alias("mean_fill"), (F.stddev("cost") / F.avg("cost")).alias("cost_spread"))
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that share a run of at least 12 words with an item, and the items."""
+    documents, items = table(spark, folder, "documents"), table(spark, folder, "eval_items")
+    return leaked_items(documents, items, materialise).select("doc_id", "item_id")
+
+
+def p6_items(spark: SparkSession, folder: str) -> DataFrame:
+    """The items given away, verbatim or paraphrased, with their number of documents."""
+    documents, items = table(spark, folder, "documents"), table(spark, folder, "eval_items")
+    found = leaked_items(documents, items, materialise, paraphrases=True)
+    return found.groupBy("item_id").agg(F.sum(F.when(F.col("kind") == "run", 1).otherwise(0)).alias("n_verbatim"), F.sum(F.when(F.col("kind") == "paraphrase", 1).otherwise(0)).alias("n_paraphrased"))
+
+
 def _mix(spark: SparkSession, folder: str) -> Mix:
     documents = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "source", "text")
     sized = token_counts(documents, f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
@@ -114,6 +128,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_summary": p4_summary,
     "p5_sequences": p5_sequences,
     "p5_fill": p5_fill,
+    "p6_found": p6_found,
+    "p6_items": p6_items,
     "p7_mix": p7_mix,
     "p7_shares": p7_shares,
     "p3_classes": p3_classes,
