@@ -13,6 +13,7 @@ from millrace.llm.mixing import TOKENIZERS, Mix, mix_sources, token_counts
 from millrace.llm.near import classes, expanded, near_duplicates
 from millrace.llm.outward import outward_duplicates
 from millrace.llm.packing import QUADRATIC, pack
+from millrace.llm.residue import residue
 from millrace.session import materialise, table
 
 
@@ -120,6 +121,17 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return _mix(spark, folder).shares
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with template residue or error-page text, and their kind."""
+    return residue(table(spark, folder, "documents").select("doc_id", "text"), materialise)
+
+
+def p8_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that remain when those with residue are left out."""
+    documents = table(spark, folder, "documents")
+    return documents.join(p8_found(spark, folder).select("doc_id"), "doc_id", "left_anti").select("doc_id", "doc_type", "n_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_collapsed": p1_collapsed,
@@ -132,6 +144,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_items": p6_items,
     "p7_mix": p7_mix,
     "p7_shares": p7_shares,
+    "p8_found": p8_found,
+    "p8_clean": p8_clean,
     "p3_classes": p3_classes,
 }
 ORACLES: dict[str, str] = {}
