@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.plans import orphans
+from millrace.plans import curation, orphans
 
-_MODULES = [orphans]
+_MODULES = [curation, orphans]
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
