@@ -7,7 +7,7 @@ the digits that hold the cut are ordered row by row.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,20 +32,26 @@ def first_of_strata(df: DataFrame, strata: Sequence[str], takes: DataFrame, orde
     before = Window.partitionBy(*strata).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # 4,096 rows a stratum
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
 
-    def same(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> Column:
-        out = F.lit(True)
-        for c in columns:
-            out = out & a[c].eqNullSafe(b[c])
-        return out
-
-    plan = sizes.join(takes, same(sizes, takes, strata)).select(*[sizes[c] for c in strata], "_part", "_n", "_before", "take").where("_before < take")
-    picked = part.join(plan, same(part, plan, [*strata, "_part"])).select(*[part[c] for c in part.columns], "_n", "_before", "take")
+    mine = [f"_s{i}" for i in range(len(strata))]
+    own = takes.select(*[F.col(c).alias(m) for c, m in zip(strata, mine)], "take")
+    plan = sizes.join(own, _all_same(zip(strata, mine))).where("_before < take")
+    plan = plan.select(*mine, F.col("_part").alias("_p"), "_n", "_before", "take")
+    picked = part.join(plan, _all_same([*zip(strata, mine), ("_part", "_p")])).drop(*mine, "_p")
     whole = picked.where("_before + _n <= take")
     rank = Window.partitionBy(*strata, "_part").orderBy(order, key)
     edge = picked.where("_before + _n > take").withColumn("_r", F.row_number().over(rank)).where("_before + _r <= take").drop("_r")
     return whole.unionByName(edge).drop("_part", "_n", "_before", "take")
 
 
+def _all_same(pairs: Iterable[tuple[str, str]]) -> Column:
+    """Null-safe equality of pairs of columns (an equi-join key for Catalyst)."""
+    out = None
+    for a, b in pairs:
+        same = F.col(a).eqNullSafe(F.col(b))
+        out = same if out is None else out & same
+    return out
+
+
 def first_rows(df: DataFrame, take: int | Column, order: str, key: str) -> DataFrame:
     """The first ``take`` rows of a table in shuffled order."""
     one = df.withColumn("_all", F.lit(1))
@@ -62,7 +68,7 @@ def allocation(sizes: DataFrame, stratum: str, quota: int | Column, largest_rema
     """
     everything = Window.partitionBy(F.lit(1))
     q = F.lit(quota) if isinstance(quota, int) else quota
-    d = sizes.select(stratum, "n").withColumn("_q", q.cast("long")).withColumn("_total", F.sum("n").over(everything))
+    d = sizes.select(stratum, "n", q.cast("long").alias("_q")).withColumn("_total", F.sum("n").over(everything))
     d = d.withColumn("_base", F.floor(F.col("_q") * F.col("n") / F.col("_total")).cast("long")).withColumn("_short", F.col("_q") - F.sum("_base").over(everything))
     by = [(F.col("_q") * F.col("n") / F.col("_total") - F.col("_base")).desc()] if largest_remainder else [F.col("n").desc()]
     d = d.withColumn("_r", F.row_number().over(everything.orderBy(*by, stratum)))
