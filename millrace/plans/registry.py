@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.plans import curation, orphans, samples
+from millrace.plans import curation, lookups, orphans, samples, scoring
 
-_MODULES = [curation, orphans, samples]
+_MODULES = [curation, orphans, samples, lookups, scoring]
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
