@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.series import numbered, trailing
@@ -36,6 +36,17 @@ def as_of(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, val
     return joined.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in own], *[F.col(f"_found.{v}").alias(f"asof_{v}") for v in values])
 
 
+def top_k(df: DataFrame, keys: Sequence[str], by: Sequence[Column], k: int, parts: int = 64) -> DataFrame:
+    """The first ``k`` rows of each key in an order that no two rows share.
+
+    Each of ``parts`` splits of a key gives its own first k, and those are
+    ranked again, so a hot key is sorted in parts.
+    """
+    split = F.pmod(F.xxhash64(*df.columns), F.lit(parts))
+    some = df.withColumn("_part", split).withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*by))).where(F.col("_r") <= k)
+    return some.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*by))).where(F.col("_r") <= k).drop("_r", "_part")
+
+
 def gaps(df: DataFrame, keys: Sequence[str], time_seconds: str, order: Sequence[str], least: float) -> DataFrame:
     """Rows that come more than ``least`` seconds after the row before them, with ``gap``."""
 

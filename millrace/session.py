@@ -70,6 +70,18 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def exists(spark: SparkSession, path: str, as_file: bool = False) -> bool:
+    """Whether a path is there (as a plain file, if asked)."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(files.exists(where) and (not as_file or files.getFileStatus(where).isFile()))
+
+
+def discard_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate results when the Python process ends."""
+    atexit.register(_remove, spark, path)
+
+
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
@@ -80,7 +92,7 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/millrace/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
+    discard_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
