@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.kernels import WordSlice, mix, shingles, slices
+from millrace.session import scan_slices
 
 #: Hashed features and latent dimensions (and extra ones of the range finder).
 FEATURE_BITS, LATENT, EXTRA = 14, 128, 8
@@ -258,8 +259,8 @@ def leaked_items(documents: DataFrame, items: DataFrame, materialise, paraphrase
     ``paraphrases``, ``paraphrase``. Each pair comes out once.
 
     Defined cases: null texts count as empty; texts of fewer than ``RUN``
-    words match nothing as a run; equal items are reported each; extra
-    columns are ignored; empty tables give an empty result; documents are
+    words match nothing as a run; equal items are reported each; rows without
+    id are left out; extra columns are ignored; empty tables give an empty result; documents are
     read whole, whatever their length.
 
     Scale: the items are the query set, searched in blocks of ``ITEM_BLOCK``
@@ -269,11 +270,11 @@ def leaked_items(documents: DataFrame, items: DataFrame, materialise, paraphrase
     projection is fitted on a bounded sample.
     """
     spark = documents.sparkSession
-    own = documents.select(F.col("doc_id").cast("long").alias("key"), "text")
+    own = scan_slices(documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("key"), "text"))
     df, n = document_frequencies(own.select("text"))
     idf = np.maximum(np.log((n + 1) / (df + 1)), 0.05)
     vectors = fit_projection(own, n, idf, materialise, sample)
-    asked = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("answer", F.lit("")).alias("answer"))
+    asked = items.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("answer", F.lit("")).alias("answer"))
     blocks = max(1, -(-asked.count() // ITEM_BLOCK))
     out = None
     for b in range(blocks):

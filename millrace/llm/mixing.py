@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.kernels import slices
+from millrace.session import scan_slices
 
 #: Where the public vocabulary files lie; see the folder's README.
 TOKENIZERS = "/opt/tokenizers"
@@ -51,7 +52,7 @@ def token_counts(documents: DataFrame, path: str) -> DataFrame:
                 counts += [len(x) for x in encoding.encode_ordinary_batch(texts[lo:hi], num_threads=1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64())], names=["id", "source", "tokens"])
 
-    return documents.select(F.col("id").cast("long").alias("id"), "source", "text").mapInArrow(run, "id long, source string, tokens long")
+    return scan_slices(documents.select(F.col("id").cast("long").alias("id"), "source", "text")).mapInArrow(run, "id long, source string, tokens long")
 
 
 def same_source(raw):
@@ -86,8 +87,8 @@ def mix_sources(sized: DataFrame, targets: DataFrame, materialise, budget: int |
     (a target without documents, with share 0 or with max_repeats 0 supplies
     nothing; the others keep their proportions).
 
-    Defined cases: null sources match no target; documents without tokens are
-    not chosen; null shares or repeats count as 0; empty tables give no
+    Defined cases: null sources match no target; documents without tokens or
+    id are not chosen; null shares or repeats count as 0; empty tables give no
     chosen documents.
 
     Scale: the running sum of a source is taken per bucket of the shuffled
@@ -99,7 +100,7 @@ def mix_sources(sized: DataFrame, targets: DataFrame, materialise, budget: int |
     """
     t = targets.select(same_source(F.col("source")).alias("source"), F.coalesce("target_share", F.lit(0.0)).alias("target_share"), F.coalesce("max_repeats", F.lit(0)).alias("max_repeats"))
     t = t.where(F.col("source").isNotNull()).groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").cast("long").alias("max_repeats"))
-    d = sized.select(F.col("id").alias("id"), same_source(F.col("source")).alias("source"), F.col("tokens").cast("long").alias("tokens")).where("tokens > 0 AND source IS NOT NULL")
+    d = sized.select(F.col("id").alias("id"), same_source(F.col("source")).alias("source"), F.col("tokens").cast("long").alias("tokens")).where("tokens > 0 AND source IS NOT NULL AND id IS NOT NULL")
     d = d.join(F.broadcast(t), "source")
     # the shuffled order of a source: by a hash of the id; buckets are ranges of it
     d = d.withColumn("_h", F.xxhash64(F.lit(seed), "id")).withColumn("_b", F.shiftright("_h", 56))

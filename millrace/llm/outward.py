@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.kernels import SKIP, code_points, fold_table, mix
 from millrace.operators.skew import salted_join
+from millrace.session import scan_slices
 
 #: The two prime moduli of the rolling hash; products of a residue and a
 #: folded code point stay below 2**53.
@@ -255,15 +256,15 @@ def outward_duplicates(records: DataFrame, materialise) -> DataFrame:
     smallest. ``materialise`` writes an intermediate table durably.
 
     Defined cases: null and empty texts are equal to each other and to texts
-    of white space and punctuation only; ids are unique; extra columns are
-    ignored; an empty table gives an empty result; long texts are streamed.
+    of white space and punctuation only; ids are unique, rows without id are
+    left out; extra columns are ignored; an empty table gives an empty result; long texts are streamed.
 
     Scale: hashes are 24 bytes a record; only records whose hashes recur send
     their texts, once. A set of copies of any size is verified in ``SALTS``
     tasks, whose representatives (one per salt) are compared in a second,
     small step.
     """
-    texts = records.select("id", "chosen", "rejected")
+    texts = scan_slices(records.where(F.col("id").isNotNull()).select("id", "chosen", "rejected"))
     raw = materialise(texts.mapInArrow(_hash_batches, _HASHED_DDL), "outward-hashes")
     hashed = materialise(_prose_like_sets(raw).select("id", "c", "r"), "outward-keys")
     again = hashed.groupBy("c", "r").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")

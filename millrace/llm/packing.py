@@ -89,7 +89,8 @@ def pack(records: DataFrame, capacity: int, materialise, linear: float = 1.0, qu
     full pieces and a rest.
 
     Defined cases: records of length 0 take no room and go to some sequence
-    at its current end; repeated rows are packed like others; an empty table
+    at its current end; repeated rows are packed like others; rows without id
+    are left out; an empty table
     gives an empty result; extra columns are ignored.
 
     Scale: pieces are hashed into groups of about ``group_pieces`` (each with
@@ -97,6 +98,7 @@ def pack(records: DataFrame, capacity: int, materialise, linear: float = 1.0, qu
     counts (one row a group) crosses groups. Full pieces need no packing and
     stay out of the groups.
     """
+    records = records.where(F.col("id").isNotNull())
     sized = records.select(F.col("id").cast("long").alias("id"), F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
     whole = F.floor(F.col("n") / capacity).cast("int")
     last = F.when((F.col("n") % capacity > 0) | (F.col("n") == 0), whole).otherwise(whole - 1)

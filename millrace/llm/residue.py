@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.kernels import WordSlice, mix, slices
+from millrace.session import scan_slices
 
 KINDS = ("placeholder", "filler", "error_page", "script_notice")
 #: Hashed features of the classifier.
@@ -261,13 +262,13 @@ def residue(documents: DataFrame, materialise, rounds: int = ROUNDS) -> DataFram
 
     Defined cases: null and empty texts and texts without words are clean;
     repeated texts get equal results; an empty table gives an empty result;
-    extra columns are ignored; texts are read whole, whatever their length.
+    rows without id and extra columns are ignored; texts are read whole, whatever their length.
 
     Scale: passages are written once; each round is one pass over them with a
     partial sum per partition; nothing is kept per document until the final
     score, and that only for passages that are not clean.
     """
-    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(passages_of(F.col("text"))).alias("passage"))
+    own = scan_slices(documents.where(F.col("doc_id").isNotNull()).select("doc_id", "text")).select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(passages_of(F.col("text"))).alias("passage"))
     own = own.where(F.col("passage").rlike(r"\w")).withColumn("label", trusted_kind(F.col("passage")))
     own = own.where((F.col("label") > 0) | ~F.col("passage").rlike(_JSON_LINE))
     own = materialise(own, "residue-passages")
