@@ -9,6 +9,7 @@ from collections.abc import Iterator, Mapping, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.session import exists
 from millrace.sources import schemas
@@ -39,9 +40,14 @@ def write_jsonl(df: DataFrame, path: str, limit: int | None = None) -> int:
     return df.sparkSession.read.text(path).count()
 
 
-def read_parquet_tree(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """All Parquet files below a folder; unreadable ones are skipped."""
-    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("ignoreCorruptFiles", True).parquet(path)
+def read_parquet_tree(spark: SparkSession, path: str, pattern: str = "*.parquet", schema: str | None = None) -> DataFrame:
+    """All Parquet files below a folder; unreadable ones are skipped.
+
+    Without ``schema`` it is merged from the readable footers, which reads
+    every file's; give one where there are many.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("ignoreCorruptFiles", True)
+    return (reader.schema(schema) if schema else reader.option("mergeSchema", True)).parquet(path)
 
 
 def read_shards(spark: SparkSession, paths: Sequence[str], schema: str) -> DataFrame:
@@ -64,8 +70,15 @@ def row_count(spark: SparkSession, path: str) -> int:
 
 def read_json_tolerant(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """Good rows of JSON array files, and the names of files that are broken or no arrays of objects."""
-    marked = spark.read.schema(schema + ", _corrupt string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).withColumn("_file", F.input_file_name())
-    return marked.where("_corrupt IS NULL").drop("_corrupt", "_file"), marked.where("_corrupt IS NOT NULL").select("_file").distinct()
+    files = spark.read.text(path, wholetext=True).withColumn("_file", F.input_file_name())
+    parsed = files.select("_file", F.when(F.ltrim("value").startswith("["), F.from_json("value", f"array<struct<{_as_struct(schema)}>>")).alias("_rows"))
+    good = parsed.select(F.explode("_rows").alias("r")).where("r IS NOT NULL").select("r.*")
+    return good, parsed.where("_rows IS NULL").select("_file")
+
+
+def _as_struct(schema: str) -> str:
+    """Column definitions in the form that a struct type takes."""
+    return ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in StructType.fromDDL(schema))
 
 
 def read_media(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -157,7 +170,7 @@ def write_tsv(df: DataFrame, path: str) -> None:
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
     """``file, metric, value`` of score files with one header and one value row; cells that are no numbers are left out."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), F.split(F.trim("value"), r"\r?\n").alias("l")).where(F.size("l") > 1)
+    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.split(F.trim("value"), r"\r?\n").alias("l")).where(F.size("l") > 1)
     pairs = lines.select("file", F.explode(F.arrays_zip(F.split(F.get("l", F.lit(0)), ",").alias("metric"), F.split(F.get("l", F.lit(1)), ",").alias("value"))).alias("c"))
     clean = lambda c: F.regexp_replace(F.trim(c), '^"|"$', "")
     return pairs.select("file", clean("c.metric").alias("metric"), clean("c.value").try_cast("double").alias("value")).where("value IS NOT NULL")
@@ -183,10 +196,11 @@ def tail_lines(df: DataFrame, text: str, chars: int) -> DataFrame:
 
 def parse_processes(lines: DataFrame, column: str) -> DataFrame:
     """``at, pid, name, mb`` of process log lines: a time, then ``pid:name:NMB`` entries."""
-    parts = F.split(F.trim(F.col(column)), r"\s{2,}")
-    entries = lines.select(F.get(parts, F.lit(0)).alias("at"), F.explode(F.slice(parts, 2, 1 << 20)).alias("e"))
-    rule = r"^(\d+):(.*):([0-9.]+)MB$"
-    return entries.where(F.col("e").rlike(rule)).select(F.to_timestamp_ntz("at").alias("at"), F.regexp_extract("e", rule, 1).cast("long").alias("pid"), F.regexp_extract("e", rule, 2).alias("name"), F.regexp_extract("e", rule, 3).cast("double").alias("mb"))
+    rule = r"([0-9]+):(\S.*?):([0-9.]+)MB(?=\s|$)"
+    line = F.trim(F.col(column))
+    entries = lines.select(F.regexp_extract(line, r"^\S+", 0).alias("at"), F.explode(F.regexp_extract_all(line, F.lit(r"(?<=\s)" + rule), F.lit(0))).alias("e"))
+    part = lambda i: F.regexp_extract("e", rule, i)
+    return entries.select(F.col("at").try_cast("timestamp_ntz").alias("at"), part(1).cast("long").alias("pid"), part(2).alias("name"), part(3).try_cast("double").alias("mb"))
 
 
 def format_process(pid, name, mb):
