@@ -35,7 +35,7 @@ ITEM_BLOCK = 2_000
 
 # Paraphrases: least cosine and number of passages, and least share of the
 # item's words in the longest common subsequence with and without its answer.
-NEAR_COSINE, NEAR_PASSAGES = 0.85, 3
+NEAR_COSINE, NEAR_PASSAGES = 0.6, 3
 SUBSEQUENCE_WITH_ANSWER, SUBSEQUENCE_ALONE = 0.6, 0.75
 
 _D = 1 << FEATURE_BITS

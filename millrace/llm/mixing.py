@@ -140,6 +140,6 @@ def mix_sources(sized: DataFrame, targets: DataFrame, materialise, budget: int |
     chosen = materialise(chosen, "mix-chosen")
     got = chosen.groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"), F.sum(F.col("tokens") * F.col("repeats")).alias("tokens"))
     shares = t.select("source", "target_share", "max_repeats", F.coalesce("_w", F.lit(0.0)).alias("share_of_available")).join(got, "source", "left").na.fill(0, ["n_documents", "tokens"])
-    share = F.col("tokens") / F.sum("tokens").over(Window.partitionBy(F.lit(1)))
+    share = F.try_divide(F.col("tokens"), F.sum("tokens").over(Window.partitionBy(F.lit(1))))
     shares = shares.withColumn("share", F.coalesce(share, F.lit(0.0)))
     return Mix(chosen, shares.select("source", "target_share", "max_repeats", "n_documents", "tokens", "share", "share_of_available"))
