@@ -66,7 +66,7 @@ def test_logs(spark):
     got = io.parse_log_objects(lines, "value", schemas.TRAINER_LINE).select("n", F.coalesce("current_steps", "global_step")).collect()
     assert sorted(map(tuple, got)) == [(1, 5), (4, 7)]
     log = spark.createDataFrame([("2026-09-27T01:53:22 1275904:MainThread:556MB  7:pt:worker:387MB",), ("2026-09-27T01:54:22  8:python:12MB",)], "value string")
-    assert [(r.pid, r.name, r.mb) for r in io.parse_processes(log, "value").collect()] == [(7, "pt:worker", 387.0), (8, "python", 12.0)]
+    assert [(r.pid, r.name, r.mb) for r in io.parse_processes(log, "value").collect()] == [(1275904, "MainThread", 556.0), (7, "pt:worker", 387.0), (8, "python", 12.0)]
     text = spark.createDataFrame([(1, "aaaa\rbb\ncc")], "id int, t string")
     assert [r["value"] for r in io.tail_lines(text, "t", 5).orderBy("line").collect()] == ["bb", "cc"]
 
