@@ -21,6 +21,8 @@ from millrace.session import scan_slices
 
 #: Where the public vocabulary files lie; see the folder's README.
 TOKENIZERS = "/opt/tokenizers"
+#: Targets up to this number are broadcast (with 256 rows each), more are joined by shuffles.
+FEW_TARGETS = 2_000
 #: Splits of the range of finish times; the one with the cut is ordered row by row.
 RANGES = 4096
 
@@ -95,13 +97,14 @@ def mix_sources(sized: DataFrame, targets: DataFrame, materialise, budget: int |
     order (256 a source), after a sum per bucket, so a source with a third of
     all rows is no single task. The global order is by ranges of finish time
     (finish times are spread evenly by construction); only the range with the
-    cut is ordered row by row. Targets are a small table by contract and are
-    broadcast with at most 256 rows each.
+    cut is ordered row by row. Up to ``FEW_TARGETS`` targets are broadcast,
+    with at most 256 rows each; more are joined by shuffles.
     """
     t = targets.select(same_source(F.col("source")).alias("source"), F.coalesce("target_share", F.lit(0.0)).alias("target_share"), F.coalesce("max_repeats", F.lit(0)).alias("max_repeats"))
     t = t.where(F.col("source").isNotNull()).groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").cast("long").alias("max_repeats"))
     d = sized.select(F.col("id").alias("id"), same_source(F.col("source")).alias("source"), F.col("tokens").cast("long").alias("tokens")).where("tokens > 0 AND source IS NOT NULL AND id IS NOT NULL")
-    d = d.join(F.broadcast(t), "source")
+    few = F.broadcast if t.count() <= FEW_TARGETS else (lambda x: x)
+    d = d.join(few(t), "source")
     # the shuffled order of a source: by a hash of the id; buckets are ranges of it
     d = d.withColumn("_h", F.xxhash64(F.lit(seed), "id")).withColumn("_b", F.shiftright("_h", 56))
     d = materialise(d, "mix-documents")
@@ -116,11 +119,11 @@ def mix_sources(sized: DataFrame, targets: DataFrame, materialise, budget: int |
     total = budget
     if total is None:
         total = t.agg(F.min(F.col("_have") * F.col("max_repeats") / F.col("_w"))).first()[0] or 0
-    plan = F.broadcast(t.where(F.col("_w").isNotNull()).select("source", "_w", "_have", "max_repeats"))
+    plan = few(t.where(F.col("_w").isNotNull()).select("source", "_w", "_have", "max_repeats"))
     ahead = Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # at most 256 rows
     starts = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(ahead), F.lit(0))).select("source", "_b", "_before")
     inside = Window.partitionBy("source", "_b").orderBy("_h", "id").rowsBetween(Window.unboundedPreceding, 0)
-    q = d.select("id", "source", "tokens", "_h", "_b").join(F.broadcast(starts), ["source", "_b"]).join(plan, "source")
+    q = d.select("id", "source", "tokens", "_h", "_b").join(few(starts), ["source", "_b"]).join(plan, "source")
     q = q.withColumn("_upto", F.col("_before") + F.sum("tokens").over(inside))
     q = q.select("id", "source", "tokens", "_upto", "_have", "_w", F.explode(F.sequence(F.lit(0).cast("long"), F.col("max_repeats") - 1)).alias("_pass"))
     q = q.select("id", "source", "tokens", "_pass", ((F.col("_pass") * F.col("_have") + F.col("_upto")) / F.col("_w")).alias("finish"))

@@ -162,6 +162,27 @@ def test_near_pairs_against_brute_force(spark, monkeypatch, small_bucket):
     assert {r.id: r.class_id for r in near.classes(found, materialise).collect()} == {x: root(x) for x in list(parent)}
 
 
+def test_buckets_of_any_size_are_sent_on_whole(monkeypatch):
+    pa = __import__("pyarrow")
+    monkeypatch.setattr(near, "HELD", 50)
+    monkeypatch.setattr(near, "SMALL_BUCKET", 3)
+    sizes = {5: 2, 7: 200, 8: 1, 9: 3, 10: 60, 11: 4}
+    keys = np.repeat(list(sizes), list(sizes.values())).astype(np.int64)
+    ids = np.arange(len(keys), dtype=np.int64)
+    for step in (1, 7, 40, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(keys[i : i + step]), pa.array(ids[i : i + step])], names=["key", "member"]) for i in range(0, len(keys), step)]
+        pairs, large = set(), defaultdict(dict)
+        for out in near._bucket_pairs(iter(batches)):
+            for k, a, b in zip(*(out.column(c).to_pylist() for c in range(3))):
+                if k is None:
+                    pairs.add((a, b))
+                else:
+                    large[k][a] = b
+        assert len(pairs) == 1 + 3
+        assert {k: len(v) for k, v in large.items()} == {7: 200, 10: 60, 11: 4}
+        assert all(sorted(v.values()) == list(range(len(v))) for v in large.values())
+
+
 def test_near_pairs_of_empty_table(spark):
     found = near.near_duplicates(spark.createDataFrame([], "id long, text string"), materialise)
     assert near.expanded(found).count() == 0 and near.classes(found, materialise).count() == 0
