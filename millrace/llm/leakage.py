@@ -25,9 +25,9 @@ FEATURE_BITS, LATENT, EXTRA = 14, 128, 8
 #: lies inside one passage.
 PASSAGE, STEP = 24, 12
 #: Words that must run in common, and words between starts of item passages.
-RUN, ITEM_STEP = 12, 2
+RUN, ITEM_STEP = 12, 3
 #: Least cosine of a candidate.
-COSINE = 0.5
+COSINE = 0.3
 #: Documents from which the projection is fitted (a bound, not a share).
 FIT_DOCUMENTS = 4_000
 #: Items a search; more items are searched in further blocks.
@@ -172,6 +172,7 @@ class ItemIndex:
         self.ids = np.array(ids, dtype=np.int64)
         value, row = shingles(words, RUN)
         self.runs = np.unique(value ^ mix(row.astype(np.uint64)))
+        self.any_run = np.unique(value)
         self.words = [words.hash[words.first[i] : words.first[i + 1]] for i in range(len(texts))]
         own = WordSlice(answers)
         self.answers = [own.hash[own.first[i] : own.first[i + 1]] for i in range(len(texts))]
@@ -221,6 +222,12 @@ def _searcher(sent, paraphrases: bool):
                             near.append((w[cosine[w, i] >= NEAR_COSINE] + a, i[cosine[w, i] >= NEAR_COSINE]))
                     w, i = (np.concatenate(x) for x in zip(*hits))
                     i = index.items[i]
+                    # a passage none of whose runs is in any item cannot be one of its
+                    place = np.minimum(np.searchsorted(index.any_run, grams), max(len(index.any_run) - 1, 0))
+                    known = np.concatenate([[0], np.cumsum(index.any_run[place] == grams)])
+                    lead = begin[w] + shift[text[w]]
+                    some = known[lead + np.maximum(length[w] - RUN + 1, 0)] > known[lead]
+                    w, i = w[some], i[some]
                     # runs that lie inside each candidate passage, for its item
                     count = np.maximum(length[w] - RUN + 1, 0)
                     pair = np.repeat(np.arange(len(w)), count)
@@ -234,12 +241,13 @@ def _searcher(sent, paraphrases: bool):
                 if near and paraphrases:
                     w, i = (np.concatenate(x) for x in zip(*near))
                     both = text[w] * len(index.ids) + index.items[i]
-                    for key in np.unique(both):
-                        here = w[both == key]
-                        if len(here) < NEAR_PASSAGES or key in found:
-                            continue
+                    order = np.lexsort((w, both))
+                    keys_found, at, count = np.unique(both[order], return_index=True, return_counts=True)
+                    often = (count >= NEAR_PASSAGES) & ~np.isin(keys_found, found)
+                    starts, stops = w[order][at[often]], w[order][at[often] + count[often] - 1]
+                    for key, one, last in zip(keys_found[often], starts, stops):
                         d, k = divmod(int(key), len(index.ids))
-                        part = words.hash[begin[here.min()] : begin[here.max()] + length[here.max()]]
+                        part = words.hash[begin[one] : begin[last] + length[last]]
                         share = common_subsequence(index.words[k], part) / len(index.words[k])
                         if share >= SUBSEQUENCE_ALONE or share >= SUBSEQUENCE_WITH_ANSWER and _holds(words.hash[words.first[d] : words.first[d + 1]], index.answers[k]):
                             doc.append(d)
