@@ -248,6 +248,9 @@ def _searcher(sent, paraphrases: bool):
                     for key, one, last in zip(keys_found[often], starts, stops):
                         d, k = divmod(int(key), len(index.ids))
                         part = words.hash[begin[one] : begin[last] + length[last]]
+                        # words that are there at all bound the subsequence
+                        if np.isin(index.words[k], part).mean() < SUBSEQUENCE_WITH_ANSWER:
+                            continue
                         share = common_subsequence(index.words[k], part) / len(index.words[k])
                         if share >= SUBSEQUENCE_ALONE or share >= SUBSEQUENCE_WITH_ANSWER and _holds(words.hash[words.first[d] : words.first[d + 1]], index.answers[k]):
                             doc.append(d)
