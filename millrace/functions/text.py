@@ -102,7 +102,7 @@ def first_mark(s: Column, marks: Sequence[tuple[str, str]], otherwise: str = "er
 
 def trim_answer(s: Column) -> Column:
     """Lower-cased answer without the white space and full stops, commas or marks at its end."""
-    return F.regexp_replace(F.lower(F.trim(s)), r"[\s.!。，,]+$", "")
+    return F.regexp_replace(F.lower(s), r"(?U)^\s+|[\s.!。，,]+$", "")
 
 
 ANSWER_TAGS = ("answer", "solution", "final")

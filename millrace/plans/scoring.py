@@ -165,7 +165,7 @@ def schema_unify(spark: SparkSession, folder: str) -> DataFrame:
     return both.groupBy("origin").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("problem")).alias("problem_chars"), F.count("answer").alias("n_answers"))
 
 
-_FOLD = r"regexp_replace(lower(trim({0})), '[\s.!。，,]+$', '')"
+_FOLD = r"regexp_replace(lower({0}), '^[\s\p{{Z}}]+|[\s\p{{Z}}.!。，,]+$', '', 'g')"
 _INNER = r"CASE WHEN regexp_matches(t, '(?is)<\s*answer\s*>(.*?)<\s*/\s*answer\s*>') THEN regexp_extract(t, '(?is)<\s*answer\s*>(.*?)<\s*/\s*answer\s*>', 1) ELSE t END"
 _NORM = r"trim(regexp_replace(replace(replace(regexp_replace(lower(regexp_replace({0}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')), '[.。]+$', ''), '×', '*'), '÷', '/'), '[\s\p{{Z}}]+', ' ', 'g'))"
 _NUM = r"try_cast(nullif(regexp_extract(replace({0}, ',', ''), '-?[0-9]+\.?[0-9]*', 0), '') AS DOUBLE)"
