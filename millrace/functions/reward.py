@@ -35,3 +35,13 @@ def format_reward(prediction: Column) -> Column:
 def score(prediction: Column, gold: Column, answer_weight: float = 1.0, format_weight: float = 0.0) -> Column:
     """Weighted reward; a missing gold answer counts as empty."""
     return F.lit(answer_weight) * answer_reward(prediction, F.coalesce(gold, F.lit(""))) + F.lit(format_weight) * format_reward(prediction)
+
+
+def score_lists(predictions: Column, golds: Column, answer_weight: float = 1.0, format_weight: float = 0.0) -> Column:
+    """Scores of a list of predictions against a list of gold answers.
+
+    A single gold answer serves all predictions; where the list is too short,
+    the gold answer counts as empty.
+    """
+    gold = lambda i: F.coalesce(F.when(F.size(golds) == 1, F.get(golds, F.lit(0))).otherwise(F.get(golds, i)), F.lit(""))
+    return F.transform(predictions, lambda p, i: score(p, gold(i), answer_weight, format_weight))

@@ -148,6 +148,14 @@ def total_chars(messages: Column) -> Column:
     return F.coalesce(F.aggregate(messages, F.lit(0).cast("long"), lambda n, m: n + F.coalesce(F.length(m["content"]), F.lit(0))), F.lit(0))
 
 
+def looked_up(s: Column, names: Mapping[str, str]) -> Column:
+    """The name a key has in a small mapping, or the key itself."""
+    if not names:
+        return s
+    pairs = [F.lit(x) for item in names.items() for x in item]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), s), s)
+
+
 def word_count(s: Column) -> Column:
     """Runs of non-space characters."""
     return F.coalesce(F.regexp_count(s, F.lit(r"\S+")), F.lit(0))

@@ -61,6 +61,27 @@ def unified(sources: Mapping[str, DataFrame], candidates: Mapping[str, Sequence[
     return out
 
 
+def image_column(df: DataFrame, candidates: Sequence[str] = ("decoded_image", "image", "images"), probe: int = 3) -> str | None:
+    """The first candidate column that holds bytes in the first rows of the table.
+
+    Columns of other types (a path, say) are passed over by their schema;
+    only ``probe`` rows of the others are read.
+    """
+    for name in candidates:
+        if name not in df.columns:
+            continue
+        kind = df.schema[name].dataType.simpleString()
+        if kind == "binary":
+            found = F.col(name)
+        elif "bytes:binary" in kind:
+            found = image_bytes(None, F.col(name)) if kind.startswith("array") else image_bytes(F.col(name), None)
+        else:
+            continue
+        if df.select(found.alias("b")).limit(probe).where(F.length("b") > 0).limit(1).count():
+            return name
+    return None
+
+
 def image_bytes(image: Column | None, images: Column | None) -> Column:
     """Bytes of an image struct, else of the first of an image list, else null."""
     found = [c for c in (image["bytes"] if image is not None else None, F.get(images, F.lit(0))["bytes"] if images is not None else None) if c is not None]

@@ -28,6 +28,11 @@ def disclosure(n_items: Column, n_prints: Column) -> Column:
     return F.when(F.coalesce(n_items, F.lit(0)) == 0, "not_run").when(n_prints == 0, "not_effective").otherwise("executed")
 
 
+def judging(bench: Column, has_judge: bool, judged: tuple[str, ...] = ("MathVista",), binary: tuple[str, ...] = ("MME",)) -> Column:
+    """How a benchmark's answers were judged."""
+    return F.when(bench.isin(*judged), F.lit("judge model" if has_judge else "rules, not comparable")).when(bench.isin(*binary), "yes or no").otherwise("default")
+
+
 def nested_scores(text: Column, splits: tuple[str, ...] = ("short", "medium", "long")) -> Column:
     """``value`` (percent of the first split) and ``detail`` (all splits that are there) of a score JSON."""
     overall = {s: F.get_json_object(text, f"$.{s}.overall").try_cast("double") * 100 for s in splits}

@@ -150,6 +150,11 @@ def united(shards: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def first_non_empty(*tables: DataFrame) -> DataFrame:
+    """The first table with rows, else the last."""
+    return next((t for t in tables[:-1] if not t.isEmpty()), tables[-1])
+
+
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """CSV with a header, columns in a fixed order, null as empty."""
     df.select(*columns).write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)

@@ -80,3 +80,15 @@ def test_small_functions(spark):
 def test_override_arguments():
     assert T.override_arguments(["--a", "1", "--b=2", "--flag", "--c", "x", "k=v", "--last"]) == ["a=1", "b=2", "flag=true", "c=x", "k=v", "last=true"]
     assert T.override_arguments([]) == []
+
+
+def test_score_lists_and_names(spark):
+    from millrace.functions import registry
+
+    row = spark.createDataFrame([(["a", "b"], ["a"], ["a", "b"], ["a"][:0])], "p array<string>, one array<string>, two array<string>, none array<string>")
+    got = row.select(*[reward.score_lists(F.col("p"), F.col(g)).alias(g) for g in ("one", "two", "none")]).first()
+    assert (got.one, got.two, got.none) == ([1.0, 0.0], [1.0, 1.0], [0.0, 0.0])
+    assert values(spark, [("x", "x")], "p string, g string", registry.scorer("answer")(F.col("p"), F.col("g")), registry.scorer("millrace.functions.reward:score")(F.col("p"), F.col("g"))) == [(1.0, 1.0)]
+    with pytest.raises(KeyError):
+        registry.scorer("nothing")
+    assert values(spark, [("a",), ("b",), (None,)], "s string", T.looked_up(F.col("s"), {"a": "A"})) == [("A",), ("b",), (None,)]

@@ -87,3 +87,8 @@ def test_stream_state_carries_over_batches(spark, tmp_path):
         monitor_stream.run_once(monitor_stream.suppressed(stream, "k", "t"), sink, state)
         got.append(sorted(r.t for r in spark.read.schema(schema).parquet(sink).collect()))
     assert got == [[0.0], [0.0, 1801.0], [0.0, 1801.0]]
+
+
+def test_first_non_empty(spark):
+    a, b = spark.range(0), spark.range(2)
+    assert io.first_non_empty(a, b).count() == 2 and io.first_non_empty(b, a).count() == 2 and io.first_non_empty(a, a).count() == 0

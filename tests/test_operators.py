@@ -208,3 +208,12 @@ def test_orphans_of_empty_tables_and_repeats(spark):
     assert _orphans(spark, [], []) == {}
     assert _orphans(spark, [("t", 1, "images", "a/1", 5, None)] * 3, []) == {(1, "images", "a/1"): "missing"}
     assert _orphans(spark, [], [("a", 1, None)]) == {}
+
+
+def test_image_columns_and_judging(spark):
+    rows = [("p", (None, "x"), [(bytearray(b"1"), "y")], 1)]
+    df = spark.createDataFrame(rows, "image string, decoded_image struct<bytes:binary,path:string>, images array<struct<bytes:binary,path:string>>, n int")
+    assert pairs.image_column(df) == "images" and pairs.image_column(df.drop("images")) is None
+    assert bytes(df.select(pairs.image_bytes(F.col("decoded_image"), F.col("images")).alias("b")).first().b) == b"1"
+    got = [r.j for r in spark.createDataFrame([("MME",), ("MathVista",), ("x",)], "b string").select(results.judging(F.col("b"), False).alias("j")).collect()]
+    assert got == ["yes or no", "rules, not comparable", "default"]
