@@ -24,8 +24,9 @@ KINDS = ("placeholder", "filler", "error_page", "script_notice")
 FEATURE_BITS = 16
 #: Rounds of expectation maximisation after the trusted start.
 ROUNDS = 2
-#: Weight (in features) of the background in a kind's smoothed distribution.
-SMOOTHING = 200.0
+#: Weight of the background in a kind's smoothed distribution, as a share of
+#: its features: what a kind was never seen with speaks against it alike at every size.
+SMOOTHING = 0.1
 #: Features seen less often say nothing: on them a guess would confirm itself.
 LEAST_COUNT = 5
 #: Least probability at which an unlabelled passage counts for a kind while learning.
@@ -71,9 +72,9 @@ _ABOUT = r"(?i)\b(?:syntax|config|configuration|variable|environment|template en
 _SCRIPTS = r"(?:java\s?scripts?|\bjs\b|\bscripts?\b|\bscripting\b|\bskripte?\b|\bskripten\b)"
 TRUSTED = {
     "error_page": [
-        r"^(?:error\s*|http\s*)?[45]\d\d\s*[:,\-–]?\s*(?:not found|forbidden|unauthorized|bad request|service unavailable|bad gateway|gateway timeout|internal server error|page not found|access denied|too many requests|method not allowed|gone)\W*$",
+        r"^(?:error\s*|http\s*)?[45]\d\d\s*[:,\-–]?\s*(?:not found|forbidden|unauthorized|bad request|service unavailable|bad gateway|gateway timeout|internal server error|page not found|access denied|too many requests|method not allowed|gone)\b",
         r"^(?:error|fehler|erreur)\s*[45]\d\d\b.{0,60}$",
-        r"^(?:interner serverfehler|erreur interne du serveur|error interno del servidor|internal server error)\W*(?:\(?[45]\d\d\)?)?\W*$",
+        r"^(?:interner serverfehler|erreur interne du serveur|error interno del servidor|internal server error)\b",
         r"^(?:page|file) not found\W*$|^(?:die )?seite (?:wurde )?nicht gefunden\W*$|^page introuvable\W*$|^página no encontrada\W*$",
         r"^[^\W\d_][\w' \-]{2,40}\s*\(\s*[45]\d\d\s*\)\W*$",
         r"^service (?:temporarily )?(?:unavailable|indisponible)\W*$|^dienst (?:ist )?nicht verfügbar\W*$|^servicio no disponible\W*$",
@@ -109,7 +110,7 @@ HINTS = {
     "script_notice": r"(?i)script|skript|\bjs\b",
     "filler": r"(?i)lorem|asdf|qwer|bla|xxx|foo|dummy|placeholder|sample|filler|text|goes here|comes here|replace this|^\W*(\w+)\s+\1\s+\1",
 }
-LONGEST = {"error_page": 100, "script_notice": 200, "filler": 200}
+LONGEST = {"error_page": 160, "script_notice": 200, "filler": 200}
 #: What a passage must show to be of a kind at all.
 EVIDENCE = {"placeholder": r"\bqslotq\b", "script_notice": rf"(?i){_SCRIPTS}"}
 #: Lines of JSON objects are data; only a slot in one counts.
@@ -168,7 +169,9 @@ class Model:
         """``counts``: features x (clean, kinds...); ``passages``: number of each."""
         whole = counts.sum(axis=1)
         background = (whole + 1e-3) / (whole.sum() + 1e-3 * _D)
-        logs = np.log((counts + SMOOTHING * background[:, None]) / (counts.sum(axis=0) + SMOOTHING))
+        size = counts.sum(axis=0)
+        weight = SMOOTHING * size + 1
+        logs = np.log((counts + weight * background[:, None]) / (size + weight))
         self.odds = (logs[:, 1:] - logs[:, :1]).astype(np.float32)
         self.odds[whole < LEAST_COUNT] = 0
         self.prior = np.log((passages[1:] + 1) / (passages[0] + 1))
