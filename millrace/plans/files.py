@@ -66,9 +66,9 @@ def process_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def log_errors(spark: SparkSession, folder: str) -> DataFrame:
-    """First error line in the last 400 characters of each document, cut to 200."""
+    """First error line of each document, whole texts searched, cut to 200 characters."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    lines = io.tail_lines(docs, "text", 400)
+    lines = io.tail_lines(docs, "text")
     bad = lines.where(F.col("value").rlike(r"(?i)error|forbidden|unavailable|skipped one clip") & ~F.contains(F.col("value"), F.lit("skipped one clip |")))
     first = bad.groupBy("doc_id").agg(F.min(F.struct("line", "value")).alias("f"))
     return first.select("doc_id", F.substring("f.value", 1, 200).alias("said"))

@@ -193,9 +193,9 @@ def parse_log_objects(lines: DataFrame, column: str, schema: str) -> DataFrame:
     return parsed.where("_row IS NOT NULL AND _row._corrupt IS NULL").select(*[c for c in lines.columns if c != column], "_row.*").drop("_corrupt")
 
 
-def tail_lines(df: DataFrame, text: str, chars: int) -> DataFrame:
-    """Lines (``line``, from 0) of the last ``chars`` characters of texts, with carriage returns as line ends."""
-    end = F.when(F.length(text) > chars, F.substring(F.col(text), -chars, chars)).otherwise(F.col(text))
+def tail_lines(df: DataFrame, text: str, chars: int | None = None) -> DataFrame:
+    """Lines (``line``, from 0) of whole texts or of their last ``chars`` characters, with carriage returns as line ends."""
+    end = F.col(text) if chars is None else F.when(F.length(text) > chars, F.substring(F.col(text), -chars, chars)).otherwise(F.col(text))
     return df.select(*[c for c in df.columns if c != text], F.posexplode(F.split(F.translate(end, "\r", "\n"), "\n")).alias("line", "value"))
 
 
