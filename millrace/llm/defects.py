@@ -1,19 +1,19 @@
 """Problem 4: broken prompt and response pairs.
 
-Responses are sorted by text and compared with their neighbours, so that a
-response that is a shortened version of another shows; lengths at which cut
+Responses are sorted by text and compared with all that share their start, so
+that a response that is a shortened version of another shows; lengths at which cut
 responses pile up are taken as length limits; then rules for copies, refusals
 and languages are applied to each pair.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -364,43 +364,107 @@ def _foreign(q: np.ndarray, q_known: int, a: np.ndarray, a_known: int, question:
 _STRIP = " \t\r\n\u00a0\u2009\u3000\u200b\"'`´“”‘’«»)]*_,;:.…"
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted distinct responses to the pieces that a neighbour shows to be cut.
+#: Characters up to which a piece is compared; longer responses only continue others.
+PIECE_CHARS = 200
+#: Least common start of two responses that are compared.
+LEAST_START = 8
 
-    A piece is shortened if the next response starts with it and goes on, or
-    if it opens like a sentence and shares its opening words with a much
-    longer neighbour. First and last responses of a partition come out as
-    ``edge`` rows, for the comparison across partitions.
-    """
-    part = TaskContext.get().partitionId()
-    before, held = None, None
-    first_done = False
-    for batch in batches:
-        out: dict[str, list] = {"text": [], "shortened": [], "edge": [], "part": []}
 
-        def put(text: str, shortened: bool, edge: str | None, out=out) -> None:
-            for k, v in (("text", text), ("shortened", shortened), ("edge", edge), ("part", part)):
-                out[k].append(v)
-
-        for text in batch.column(0).to_pylist():
-            if not first_done:
-                put(text, False, "first")
-                first_done = True
-            if held is not None and _cut_by(held, before, text):
-                put(held, True, None)
-            before, held = held, text
-        yield pa.RecordBatch.from_pydict(out, schema=_NEAR)
-    if held is not None:
-        yield pa.RecordBatch.from_pydict({"text": [held], "shortened": [_cut_by(held, before, None)], "edge": ["last"], "part": [part]}, schema=_NEAR)
+def _asks(text: str) -> list[tuple[int, int, str]]:
+    """(start, least, text): the piece is shortened if a response with the same ``start`` characters has ``least`` or more.
 
+    It is continued by one that starts with it and goes on, or it opens like
+    a sentence and shares its opening words with a much longer one.
+    """
+    n = len(text)
+    if n < LEAST_START or n > PIECE_CHARS or not text[0].isupper() or len(_WORD.findall(text)) < 3:
+        return []
+    out = [(n, n + 15, text)]
+    if not text.isupper():
+        out.append((max(LEAST_START, math.ceil(0.3 * n)), n + 20, text))
+    return out
 
-_NEAR = pa.schema([("text", pa.string()), ("shortened", pa.bool_()), ("edge", pa.string()), ("part", pa.int32())])
-_NEAR_DDL = "text string, shortened boolean, edge string, part int"
 
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted distinct responses to the pieces that another response shows to be cut (``cut``).
+
+    Responses with a common start follow each other, so the runs that the
+    last response is in form a stack, the longest common start on top; each
+    keeps its longest response and the pieces that wait for a longer one. A
+    run that reaches the end of a partition may go on in others: its pieces
+    come out as ``ask``, and as ``edge`` the starts of the first and the last
+    response with the most characters of a response that has them.
+    """
+    stack: list[list] = []  # [start, most, asks], ascending
+    first, last, level = None, None, 0
+    first_most: dict[int, int] = {}
+    out: dict[str, list] = {k: [] for k in _NEAR.names}
+
+    def put(kind: str, text: str | None, start: str | None, chars: int | None) -> None:
+        for k, v in zip(_NEAR.names, (kind, text, start, chars)):
+            out[k].append(v)
+
+    def close(depth: int) -> None:
+        """Ends the runs whose common start is longer than ``depth``."""
+        while stack and stack[-1][0] > depth:
+            _, most, asks = stack.pop()
+            below = stack[-1][0] if stack else 0
+            wait = []
+            for ask in asks:
+                start, least, text = ask
+                if most >= least:
+                    put("cut", text, None, None)
+                elif start <= max(depth, below):
+                    wait.append(ask)
+                elif first.startswith(text[:start]):
+                    put("ask", text, text[:start], least)
+            if below >= depth and stack:
+                stack[-1][1] = max(stack[-1][1], most)
+                stack[-1][2] += wait
+            elif depth >= LEAST_START:
+                stack.append([depth, most, wait])
 
-def _common(a: str, b: str | None) -> int:
-    if b is None:
-        return 0
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            depth = min(len(text), PIECE_CHARS)
+            if last is None:
+                first, level = text, depth
+            else:
+                common = _common(last[:PIECE_CHARS], text[:PIECE_CHARS])
+                level = min(level, common)
+                close(common if common >= LEAST_START else 0)
+            if level >= LEAST_START:
+                first_most[level] = max(first_most.get(level, 0), len(text))
+            if stack and stack[-1][0] == depth:
+                stack[-1][1] = max(stack[-1][1], len(text))
+                stack[-1][2] += _asks(text)
+            else:
+                stack.append([depth, len(text), _asks(text)])
+            last = text
+        yield pa.RecordBatch.from_pydict(out, schema=_NEAR)
+        for v in out.values():
+            v.clear()
+    if last is None:
+        return
+    last_most, most = {}, 0
+    for run in reversed(stack):
+        most = last_most[run[0]] = max(most, run[1])
+        for start, least, text in run[2]:
+            # the run with just this start may be a longer one, lower in the stack
+            put("ask", text, text[:start], least)
+    for text, by_start in ((first, first_most), (last, last_most)):
+        most, starts = 0, sorted(by_start)
+        for start in range(starts[-1] if starts else 0, LEAST_START - 1, -1):
+            most = max(most, by_start.get(start, 0))
+            put("edge", None, text[:start], most)
+    yield pa.RecordBatch.from_pydict(out, schema=_NEAR)
+
+
+_NEAR = pa.schema([("kind", pa.string()), ("text", pa.string()), ("start", pa.string()), ("chars", pa.int32())])
+_NEAR_DDL = "kind string, text string, start string, chars int"
+
+
+def _common(a: str, b: str) -> int:
     n = min(len(a), len(b))
     if a[:n] == b[:n]:
         return n
@@ -411,17 +475,6 @@ def _common(a: str, b: str | None) -> int:
     return lo
 
 
-def _cut_by(text: str, before: str | None, after: str | None) -> bool:
-    if len(text) < 8 or len(text) > 200 or not text[0].isupper() or len(_WORD.findall(text)) < 3:
-        return False
-    if after is not None and after.startswith(text) and len(after) >= len(text) + 15:
-        return True
-    for other in (before, after):
-        if other is not None and not text.isupper() and len(other) >= len(text) + 20 and _common(text, other) >= max(8, 0.3 * len(text)):
-            return True
-    return False
-
-
 def broken_pairs(pairs: DataFrame, materialise, sample_rows: int = 20_000) -> DataFrame:
     """Every defective answer with its kind of defect.
 
@@ -436,8 +489,10 @@ def broken_pairs(pairs: DataFrame, materialise, sample_rows: int = 20_000) -> Da
 
     Scale: classification is one pass without shuffle. For the neighbour
     comparison distinct responses are range-sorted (repeats collapse in the
-    partial aggregation, so a frequent answer costs one row); only the short
-    pieces without an end are joined with its outcome.
+    partial aggregation, so a frequent answer costs one row) and each is
+    compared with all that share its start, across partitions by at most
+    ``2 * PIECE_CHARS`` starts a partition; only the short pieces without an
+    end are joined with its outcome.
     """
     spark = pairs.sparkSession
     own = pairs.select("src_table", F.col("row_id").cast("long").alias("row_id"), "field", F.col("turn").cast("int").alias("turn"), "question", "answer")
@@ -451,7 +506,7 @@ def broken_pairs(pairs: DataFrame, materialise, sample_rows: int = 20_000) -> Da
     texts = own.select(F.rtrim("answer", F.lit(_STRIP)).alias("text")).where(F.length("text") >= 8).distinct()
     sorted_texts = texts.repartitionByRange("text").sortWithinPartitions("text")
     near = materialise(sorted_texts.mapInArrow(_neighbours, _NEAR_DDL), "pair-neighbours")
-    short = near.where("shortened").select("text").unionByName(_across(near)).distinct()
+    short = near.where("kind = 'cut'").select("text").unionByName(_across(near)).distinct()
     by_text = maybe.join(short, "text", "left_semi")
     by_limit = maybe.join(limits, "chars", "left_semi")
     cut = by_text.unionByName(by_limit.select(by_text.columns)).select("src_table", "row_id", "field", "turn").distinct().withColumn("defect", F.lit("truncated"))
@@ -459,11 +514,9 @@ def broken_pairs(pairs: DataFrame, materialise, sample_rows: int = 20_000) -> Da
 
 
 def _across(near: DataFrame) -> DataFrame:
-    """Last responses of a partition that the next partition's first one continues."""
-    edges = near.where("edge IS NOT NULL").select("part", "edge", "text")
-    order = Window.orderBy("part", F.when(F.col("edge") == "first", 0).otherwise(1))  # two rows a partition
-    follows = edges.withColumn("_next", F.lead("text").over(order)).where("edge = 'last' AND _next IS NOT NULL")
-    return follows.where(F.col("_next").startswith(F.col("text")) & (F.length("_next") >= F.length("text") + 15) & (F.length("text") >= 8)).select("text")
+    """Pieces that wait at the end of a partition and that a response of any partition shows to be cut."""
+    most = near.where("kind = 'edge'").groupBy("start").agg(F.max("chars").alias("_most"))
+    return near.where("kind = 'ask'").join(most, "start").where(F.col("_most") >= F.col("chars")).select("text")
 
 
 def _length_limits(cut: DataFrame, least: int = 20, factor: float = 5.0, around: int = 10) -> DataFrame:
