@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 
-from millrace.llm import defects
+from millrace.llm import defects, near
 from millrace.session import materialise
 
 Q = "Which word is printed on the red kite near the gate?"
@@ -46,3 +47,14 @@ def test_answer_cut_at_every_character(spark):
     pieces = [full[:n] for n in range(16, 30)]
     got = flagged(spark, [full, *pieces])
     assert {p for p in pieces if defects.cut_state(p) == "open"} <= set(got) and set(got.values()) == {"truncated"}
+
+
+def test_earliest_round_wins_after_round_256():
+    bins, value = 192, np.array([11, 22, 33], dtype=np.uint64)
+    first = np.full(bins, -1)
+    for i in range(2 * bins):
+        h = near.mix(value + np.uint64((i + 1) * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF))
+        place = ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(int) if i < bins else np.array([i - bins])
+        first[place] = np.where(first[place] < 0, i, first[place])
+    got = near.sketch_rows(value, np.zeros(3, dtype=np.int64), 1, bins)[0]
+    assert max(first) > 256 and np.argsort(got)[-1] == np.argmax(first) and (np.sort(first) == first[np.argsort(got)]).all()
