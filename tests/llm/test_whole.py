@@ -58,3 +58,12 @@ def test_earliest_round_wins_after_round_256():
         first[place] = np.where(first[place] < 0, i, first[place])
     got = near.sketch_rows(value, np.zeros(3, dtype=np.int64), 1, bins)[0]
     assert max(first) > 256 and np.argsort(got)[-1] == np.argmax(first) and (np.sort(first) == first[np.argsort(got)]).all()
+
+
+def test_pairs_of_the_least_similarity_are_candidates():
+    rng, n = np.random.default_rng(3), 4000  # pairs with 45 of 75 elements in common
+    common, own = rng.integers(0, 1 << 63, (n, 1, 45), dtype=np.uint64), rng.integers(0, 1 << 63, (n, 2, 15), dtype=np.uint64)
+    value = np.concatenate([np.repeat(common, 2, axis=1), own], axis=2).reshape(-1)
+    sketches = near.sketch_rows(value, np.repeat(np.arange(2 * n), 60), 2 * n, near.BANDS * near.ROWS)
+    keys = near.band_keys(sketches, near.BANDS, near.ROWS)
+    assert ((keys[::2] == keys[1::2]).sum(axis=1) < near.AGREE).mean() < 0.002
