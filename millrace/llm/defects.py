@@ -126,8 +126,6 @@ _ITEM = re.compile(r"^\s*(?:\(?\d{1,3}[.)]|[-*•–])\s")
 _CHOICE = re.compile(r"^\s*[\"'(*]*\w{1,2}[.)]\s+")
 #: Words up to which an unfinished single sentence may also be a mere phrase.
 PHRASE_WORDS = 7
-#: Words up to which a response is tried as a refusal.
-REFUSAL_WORDS = 80
 
 
 def folded_words(text: str) -> str:
@@ -321,7 +319,7 @@ def _classifier(model_cast):
                         found = "empty"
                     elif nq > 3 and shared[i] >= max(4, na - 10, 0.6 * min(na, nq)) and is_copy(q[lo + i], text):
                         found = "copy"
-                    elif 2 < na <= REFUSAL_WORDS and hinted[i] and is_refusal(text):
+                    elif na > 1 and hinted[i] and is_refusal(text):
                         found = "refusal"
                     elif _foreign(score[i], known[i], score[n + i], known[n + i], q[lo + i]):
                         found = "other_language"

@@ -67,3 +67,10 @@ def test_pairs_of_the_least_similarity_are_candidates():
     sketches = near.sketch_rows(value, np.repeat(np.arange(2 * n), 60), 2 * n, near.BANDS * near.ROWS)
     keys = near.band_keys(sketches, near.BANDS, near.ROWS)
     assert ((keys[::2] == keys[1::2]).sum(axis=1) < near.AGREE).mean() < 0.002
+
+
+def test_refusals_of_any_length(spark):
+    short = ["No comment.", "Kein Kommentar.", "Sin comentarios.", "Aucun commentaire."]
+    long = " ".join(["I'm sorry, but I can't describe this image. Thank you for understanding."] * 12)
+    answering = long + " The label on the red kite near the gate reads Nofesi."
+    assert flagged(spark, [*short, long, answering]) == dict.fromkeys([*short, long], "refusal")
