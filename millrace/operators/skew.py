@@ -23,16 +23,18 @@ def heavy_keys(df: DataFrame, keys: list[str], share: float = 0.005) -> DataFram
     return counted.join(F.broadcast(total), F.col("_n") >= F.greatest(F.col("_least"), F.lit(2.0))).drop("_least")
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", salts: int = 16, share: float = 0.005, spread_by: str | None = None) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", salts: int = 16, share: float = 0.005, spread_by: str | None = None, keys_of: DataFrame | None = None) -> DataFrame:
     """Equi-join in which ``left`` rows of heavy keys are spread over ``salts`` tasks.
 
     Only ``right`` rows of those (at most ``1/share``) keys are replicated, so
     the right side grows by a bounded amount when its keys are few per heavy
     key. ``how`` may be inner, left, left_semi or left_anti. ``spread_by`` is
     the left column that is hashed for the salt (all columns by default).
+    The heavy keys are counted over ``keys_of`` if given: a table with the
+    left side's key columns that is cheaper to read than the left side itself.
     Null keys follow the rules of Spark's equi-joins.
     """
-    heavy = F.broadcast(heavy_keys(left, keys, share).select(*keys, F.lit(True).alias("_heavy")))
+    heavy = F.broadcast(heavy_keys((left if keys_of is None else keys_of).select(*keys), keys, share).select(*keys, F.lit(True).alias("_heavy")))
     spread = [F.col(spread_by)] if spread_by else [F.col(c) for c, t in left.dtypes if not t.startswith("map")]
     a = left.join(heavy, keys, "left").withColumn("_salt", F.when(F.col("_heavy"), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))).drop("_heavy")
     b = right.join(heavy, keys, "left").withColumn("_salt", F.explode(F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))).drop("_heavy")

@@ -96,6 +96,20 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete materialised tables (see :func:`materialise`) that nothing will read again.
+
+    Also lets the driver collect its garbage, on which the shuffle files of
+    the finished steps are removed; results must have been written before.
+    """
+    for df in tables:
+        for folder in {os.path.dirname(x) for x in df.inputFiles()}:
+            if os.path.basename(os.path.dirname(folder)) == "millrace":
+                _remove(df.sparkSession, folder)
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the executors, once a context.
 
