@@ -129,9 +129,11 @@ def test_sketches_estimate_similarity():
     assert (small != np.iinfo(np.uint64).max).all()  # every coordinate is filled
 
 
-@pytest.mark.parametrize("small_bucket", [48, 2])
-def test_near_pairs_against_brute_force(spark, monkeypatch, small_bucket):
-    monkeypatch.setattr(near, "SMALL_BUCKET", small_bucket)
+@pytest.mark.parametrize(("large", "hot"), [(8192, 1 << 16), (2, 1 << 16), (2, 1)])
+def test_near_pairs_against_brute_force(spark, monkeypatch, large, hot):
+    """Buckets paired at once, divided by further bands, and hot keys that pass the first step."""
+    monkeypatch.setattr(near, "LARGE", large)
+    monkeypatch.setattr(near, "HELD", hot)
     monkeypatch.setattr(near, "BLOCK", 4)
     rng = random.Random(7)
     vocabulary = [f"w{i}" for i in range(300)]
@@ -165,22 +167,24 @@ def test_near_pairs_against_brute_force(spark, monkeypatch, small_bucket):
 def test_buckets_of_any_size_are_sent_on_whole(monkeypatch):
     pa = __import__("pyarrow")
     monkeypatch.setattr(near, "HELD", 50)
-    monkeypatch.setattr(near, "SMALL_BUCKET", 3)
-    sizes = {5: 2, 7: 200, 8: 1, 9: 3, 10: 60, 11: 4}
+    sizes = {5: 2, 7: 200, 8: 1, 9: 3, 10: 60, 11: 4, 12: 40}
     keys = np.repeat(list(sizes), list(sizes.values())).astype(np.int64)
     ids = np.arange(len(keys), dtype=np.int64)
+    bits = np.zeros(len(keys), dtype=np.int64)
+    bits[keys == 5] = [0, -1]  # too different to be a pair
     for step in (1, 7, 40, 1000):
-        batches = [pa.RecordBatch.from_arrays([pa.array(keys[i : i + step]), pa.array(ids[i : i + step])], names=["key", "member"]) for i in range(0, len(keys), step)]
-        pairs, large = set(), defaultdict(dict)
-        for out in near._bucket_pairs(iter(batches)):
-            for k, a, b in zip(*(out.column(c).to_pylist() for c in range(3))):
-                if k is None:
-                    pairs.add((a, b))
-                else:
-                    large[k][a] = b
-        assert len(pairs) == 1 + 3
-        assert {k: len(v) for k, v in large.items()} == {7: 200, 10: 60, 11: 4}
-        assert all(sorted(v.values()) == list(range(len(v))) for v in large.values())
+        for large, inside in ((3, 3), (45, 3 + 6 + 780)):
+            batches = [pa.RecordBatch.from_arrays([pa.array(x[i : i + step]) for x in (keys, ids, bits, bits)], names=["key", "member", "s0", "s1"]) for i in range(0, len(keys), step)]
+            pairs, sent = set(), defaultdict(dict)
+            for out in near._bucket_pairs(near.least_bits((6, 10)), large)(iter(batches)):
+                for k, a, b in zip(*(out.column(c).to_pylist() for c in range(3))):
+                    if k is None:
+                        pairs.add((a, b))
+                    else:
+                        sent[k][a] = b
+            assert len(pairs) == inside
+            assert {k: len(v) for k, v in sent.items()} == {k: n for k, n in sizes.items() if n > large}
+            assert all(sorted(v.values()) == list(range(len(v))) for v in sent.values())
 
 
 def test_near_pairs_of_empty_table(spark):
