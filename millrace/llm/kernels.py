@@ -89,13 +89,15 @@ class WordSlice:
 
     A word is a longest run of letters or digits after lower-casing. ``hash``
     has one 64-bit value per word, ``first[i]:first[i + 1]`` are the words of
-    text ``i``; ``start`` and ``end`` are places in ``lowered``.
+    text ``i``; ``start`` and ``end`` are places in ``lowered``, whose code points
+    are ``codes``.
     """
 
     def __init__(self, texts: list[str]):
         self.n = len(texts)
         self.lowered = "\0".join([t.replace("\0", " ") for t in texts]).lower()
         codes = code_points(self.lowered)
+        self.codes = codes
         inside = alnum_table()[codes]
         flags = np.zeros(len(codes) + 2, dtype=np.int8)
         flags[1:-1] = inside
