@@ -2,8 +2,9 @@
 
 Latent semantic retrieval: documents and items are cut into overlapping
 passages, weighted by TF-IDF and projected to the leading right singular
-vectors, found by a distributed randomised SVD. Passages whose cosine is high
-are candidates; those are checked for a common run of words, and, for
+vectors, found by a distributed randomised SVD. The item passages lie in an
+inverted index of latent clusters; document passages look into the clusters
+next to them, and pairs whose cosine is high are candidates; those are checked for a common run of words, and, for
 paraphrases, for a long common subsequence and the item's answer.
 """
 
@@ -25,13 +26,15 @@ FEATURE_BITS, LATENT, EXTRA = 14, 128, 8
 #: lies inside one passage.
 PASSAGE, STEP = 24, 12
 #: Words that must run in common, and words between starts of item passages.
-RUN, ITEM_STEP = 12, 3
+RUN, ITEM_STEP = 12, 6
 #: Least cosine of a candidate.
-COSINE = 0.3
+COSINE = 0.5
+#: Clusters of item passages that a document passage looks into.
+PROBES = 8
 #: Documents from which the projection is fitted (a bound, not a share).
-FIT_DOCUMENTS = 4_000
+FIT_DOCUMENTS = 3_000
 #: Items a search; more items are searched in further blocks.
-ITEM_BLOCK = 2_000
+ITEM_BLOCK = 5_000
 
 # Paraphrases: least cosine and number of passages, and least share of the
 # item's words in the longest common subsequence with and without its answer.
@@ -125,7 +128,7 @@ def _gram_pass(sample: DataFrame, idf: np.ndarray, basis: np.ndarray, project: b
             own = [t or "" for t in batch.column(0).to_pylist()]
             for lo, hi in slices(own):
                 words = WordSlice(own[lo:hi])
-                _, begin, length = passages(words, PASSAGE, STEP, RUN)
+                _, begin, length = passages(words, PASSAGE, PASSAGE, RUN)
                 feature, weight = weighted(words, begin, length, PASSAGE, idf)
                 y = times(feature, weight, basis)
                 total += y.T @ y if project else transposed_times(feature, weight, y)
@@ -160,31 +163,132 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / (np.linalg.norm(x, axis=1, keepdims=True) + 1e-9)
 
 
+def document_passages(words: WordSlice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first word and number of words of the passages of ``PASSAGE`` words, a step apart.
+
+    Every run of ``RUN`` words lies inside one; the last of a text may be
+    shorter; texts of fewer than ``RUN`` words have none.
+    """
+    n = np.diff(words.first)
+    count = np.where(n < RUN, 0, np.maximum(-(-n // STEP) - 1, 1))
+    text = np.repeat(np.arange(words.n), count)
+    begin = words.first[text] + (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * STEP
+    return text, begin, np.minimum(PASSAGE, words.first[text + 1] - begin)
+
+
+def document_latent(words: WordSlice, matrix: np.ndarray, part: int = 20_000) -> np.ndarray:
+    """Unit latent vectors of :func:`document_passages`.
+
+    Words are projected once, in blocks of ``STEP``; a passage is the sum of
+    the two blocks it covers. ``matrix`` holds the weighted projection.
+    """
+    n = np.diff(words.first)
+    blocks = np.where(n < RUN, 0, -(-n // STEP))
+    text = np.repeat(np.arange(words.n), blocks)
+    begin = words.first[text] + (np.arange(len(text)) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * STEP
+    size = np.minimum(STEP, words.first[text + 1] - begin)
+    feature = features(words)
+    out = np.empty((len(text), matrix.shape[1]), dtype=np.float32)
+    for a in range(0, len(text), part // STEP):
+        b = slice(a, a + part // STEP)
+        lead = np.cumsum(size[b]) - size[b]
+        at = np.repeat(begin[b] - lead, size[b]) + np.arange(int(size[b].sum()))
+        out[b] = np.add.reduceat(matrix[feature[at]], lead, axis=0)
+    # a passage for each block that has a successor, and for the only block of a text
+    has_next = np.append(text[1:] == text[:-1], False) if len(text) else np.zeros(0, dtype=bool)
+    only = ~has_next & ~np.append(False, has_next[:-1]) if len(text) else has_next
+    first = np.flatnonzero(has_next | only)
+    own = out[first]
+    pair = has_next[first]
+    own[pair] += out[first[pair] + 1]
+    return unit(own)
+
+
+def clusters(latent: np.ndarray, seed: int = 5, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Unit centres of about the square root of as many clusters, and the cluster of each row."""
+    n = len(latent)
+    rng = np.random.default_rng(seed)
+    centres = latent[rng.choice(n, max(1, int(n**0.5)), replace=False)]
+    for _ in range(rounds):
+        nearest = np.concatenate([(latent[a : a + 4096] @ centres.T).argmax(axis=1) for a in range(0, n, 4096)])
+        total = np.zeros_like(centres)
+        np.add.at(total, nearest, latent)
+        lost = ~total.any(axis=1)
+        total[lost] = centres[lost]
+        centres = unit(total)
+    return centres, np.concatenate([(latent[a : a + 4096] @ centres.T).argmax(axis=1) for a in range(0, n, 4096)])
+
+
 class ItemIndex:
-    """Latent vectors, word runs and words of one block of items."""
+    """Latent vectors in clusters, word runs and words of one block of items."""
 
-    def __init__(self, ids: list[int], texts: list[str], answers: list[str], idf: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: list[int], texts: list[str], answers: list[str], matrix: np.ndarray):
         words = WordSlice(texts)
         text, begin, length = passages(words, RUN, ITEM_STEP, RUN)
-        feature, weight = weighted(words, begin, length, RUN, idf)
-        self.latent = unit(times(feature, weight, vectors)).T.copy()
-        self.items, self.first = np.unique(text, return_index=True)  # items with passages
+        total = np.concatenate([np.zeros((1, matrix.shape[1])), np.cumsum(matrix[features(words)], axis=0, dtype=np.float64)])
+        latent = unit((total[begin + length] - total[begin]).astype(np.float32))
+        self.n_passages = np.bincount(text, minlength=len(texts))
+        self.centres, self.lists = np.zeros((0, matrix.shape[1]), dtype=np.float32), []
+        if len(latent):
+            self.centres, nearest = clusters(latent)
+            for k in range(len(self.centres)):
+                own = np.flatnonzero(nearest == k)
+                item, first = np.unique(text[own], return_index=True)  # passages are in order of items
+                self.lists.append((latent[own].T.copy(), item, first))
         self.ids = np.array(ids, dtype=np.int64)
         value, row = shingles(words, RUN)
         self.runs = np.unique(value ^ mix(row.astype(np.uint64)))
         self.any_run = np.unique(value)
         self.words = [words.hash[words.first[i] : words.first[i + 1]] for i in range(len(texts))]
+        self.places = [_places(w) for w in self.words]
         own = WordSlice(answers)
         self.answers = [own.hash[own.first[i] : own.first[i + 1]] for i in range(len(texts))]
 
+    def search(self, latent: np.ndarray, probes: int = PROBES, least: float = COSINE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Passage, item and cosine of the pairs that reach ``least``, in order of both, once each."""
+        found, cosines = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.float32)]
+        for a in range(0, len(latent) if self.lists else 0, 8192):
+            part = latent[a : a + 8192]
+            near = part @ self.centres.T
+            k = min(probes, near.shape[1])
+            lists = np.argpartition(near, near.shape[1] - k, axis=1)[:, -k:]
+            order = np.argsort(lists, axis=None, kind="stable")
+            edges = np.searchsorted(lists.ravel()[order], np.arange(len(self.lists) + 1))
+            for one in range(len(self.lists)):
+                rows = order[edges[one] : edges[one + 1]] // k
+                vectors, item, first = self.lists[one]
+                if len(rows) and len(item):
+                    cosine = np.maximum.reduceat(part[rows] @ vectors, first, axis=1)
+                    i, j = np.nonzero(cosine >= least)
+                    found.append((a + rows[i]) * len(self.ids) + item[j])
+                    cosines.append(cosine[i, j])
+        found, cosines = np.concatenate(found), np.concatenate(cosines)
+        order = np.argsort(found, kind="stable")
+        found, cosines = found[order], cosines[order]
+        first = np.flatnonzero(np.diff(found, prepend=-1))
+        if len(first):
+            found, cosines = found[first], np.maximum.reduceat(cosines, first)
+        return found // len(self.ids), found % len(self.ids), cosines
+
+
+def _places(words: np.ndarray) -> dict[int, int]:
+    """For each word a number whose bits are its places."""
+    out: dict[int, int] = {}
+    for i, w in enumerate(words.tolist()):
+        out[w] = out.get(w, 0) | 1 << i
+    return out
+
 
-def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence, a row of the table at a time."""
-    row = np.zeros(len(b) + 1, dtype=np.int32)
-    for x in a:
-        hit = row[:-1] + (b == x)
-        row[1:] = np.maximum.accumulate(np.maximum(row[1:], hit))
-    return int(row[-1])
+def common_subsequence(places: dict[int, int], n: int, b: list[int]) -> int:
+    """Length of the longest common subsequence of ``n`` words with the places given and ``b``.
+
+    A row of the table is one number, a bit a word; a step takes constant time for any ``n`` of usual length.
+    """
+    row = (1 << n) - 1
+    for x in b:
+        hit = row & places.get(x, 0)
+        row = (row + hit) | (row - hit)
+    return n - (row & ((1 << n) - 1)).bit_count()
 
 
 def _holds(words: np.ndarray, answer: np.ndarray) -> bool:
@@ -196,72 +300,71 @@ def _holds(words: np.ndarray, answer: np.ndarray) -> bool:
 
 def _searcher(sent, paraphrases: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, vectors, index = sent.value
+        matrix, index = sent.value
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             own = [t or "" for t in batch.column(1).to_pylist()]
             for lo, hi in slices(own, 400_000):
                 words = WordSlice(own[lo:hi])
-                text, begin, length = passages(words, PASSAGE, STEP, RUN)
-                doc, item, kind = [], [], []
-                near: list[tuple[np.ndarray, np.ndarray]] = []
-                found = np.zeros(0, dtype=np.int64)
-                if len(text) and len(index.items):
-                    grams, _ = shingles(words, RUN)
-                    # the first run of each text in ``grams``
-                    per = np.maximum(np.diff(words.first) - RUN + 1, 0)
-                    shift = np.cumsum(per) - per - words.first[:-1]
-                    hits = []
-                    for a in range(0, len(text), 1024):
-                        b = slice(a, a + 1024)
-                        feature, weight = weighted(words, begin[b], length[b], PASSAGE, idf)
-                        cosine = np.maximum.reduceat(unit(times(feature, weight, vectors)) @ index.latent, index.first, axis=1)
-                        w, i = np.nonzero(cosine >= COSINE)
-                        hits.append((w + a, i))
-                        if paraphrases:
-                            near.append((w[cosine[w, i] >= NEAR_COSINE] + a, i[cosine[w, i] >= NEAR_COSINE]))
-                    w, i = (np.concatenate(x) for x in zip(*hits))
-                    i = index.items[i]
-                    # a passage none of whose runs is in any item cannot be one of its
-                    place = np.minimum(np.searchsorted(index.any_run, grams), max(len(index.any_run) - 1, 0))
-                    known = np.concatenate([[0], np.cumsum(index.any_run[place] == grams)])
-                    lead = begin[w] + shift[text[w]]
-                    some = known[lead + np.maximum(length[w] - RUN + 1, 0)] > known[lead]
-                    w, i = w[some], i[some]
-                    # runs that lie inside each candidate passage, for its item
-                    count = np.maximum(length[w] - RUN + 1, 0)
-                    pair = np.repeat(np.arange(len(w)), count)
-                    at = np.repeat(begin[w] + shift[text[w]], count) + (np.arange(len(pair)) - np.repeat(np.cumsum(count) - count, count))
-                    wanted = grams[at] ^ mix(i[pair].astype(np.uint64))
-                    place = np.minimum(np.searchsorted(index.runs, wanted), len(index.runs) - 1)
-                    good = np.unique(pair[index.runs[place] == wanted])
-                    found = np.unique(text[w[good]] * len(index.ids) + i[good])
-                    doc, item = (found // len(index.ids)).tolist(), (found % len(index.ids)).tolist()
-                    kind = ["run"] * len(doc)
-                if near and paraphrases:
-                    w, i = (np.concatenate(x) for x in zip(*near))
-                    both = text[w] * len(index.ids) + index.items[i]
-                    order = np.lexsort((w, both))
-                    keys_found, at, count = np.unique(both[order], return_index=True, return_counts=True)
-                    often = (count >= NEAR_PASSAGES) & ~np.isin(keys_found, found)
-                    starts, stops = w[order][at[often]], w[order][at[often] + count[often] - 1]
-                    for key, one, last in zip(keys_found[often], starts, stops):
-                        d, k = divmod(int(key), len(index.ids))
-                        part = words.hash[begin[one] : begin[last] + length[last]]
-                        # words that are there at all bound the subsequence
-                        if np.isin(index.words[k], part).mean() < SUBSEQUENCE_WITH_ANSWER:
-                            continue
-                        share = common_subsequence(index.words[k], part) / len(index.words[k])
-                        if share >= SUBSEQUENCE_ALONE or share >= SUBSEQUENCE_WITH_ANSWER and _holds(words.hash[words.first[d] : words.first[d + 1]], index.answers[k]):
-                            doc.append(d)
-                            item.append(k)
-                            kind.append("paraphrase")
+                text, begin, length = document_passages(words)
+                if not len(text) or not index.lists:
+                    continue
+                w, i, cosine = index.search(document_latent(words, matrix))
+                doc, item = _runs_in_common(words, index, text, begin, length, w, i)
+                kind = ["run"] * len(doc)
+                if paraphrases:
+                    d, k = _paraphrases(words, index, text, begin, length, w, i, cosine, doc * len(index.ids) + item)
+                    doc, item, kind = np.concatenate([doc, d]), np.concatenate([item, k]), kind + ["paraphrase"] * len(d)
                 if len(doc):
                     yield pa.RecordBatch.from_arrays([pa.array(keys[lo:hi][doc], pa.int64()), pa.array(index.ids[item]), pa.array(kind)], names=["doc_id", "item_id", "kind"])
 
     return run
 
 
+def _runs_in_common(words: WordSlice, index: ItemIndex, text, begin, length, w, i) -> tuple[np.ndarray, np.ndarray]:
+    """Texts and items of the candidates (passage ``w``, item ``i``) that share a run of ``RUN`` words."""
+    grams, _ = shingles(words, RUN)
+    # the first run of each text in ``grams``
+    per = np.maximum(np.diff(words.first) - RUN + 1, 0)
+    shift = np.cumsum(per) - per - words.first[:-1]
+    # a passage none of whose runs is in any item cannot be one of its
+    place = np.minimum(np.searchsorted(index.any_run, grams), len(index.any_run) - 1)
+    known = np.concatenate([[0], np.cumsum(index.any_run[place] == grams)])
+    lead = begin[w] + shift[text[w]]
+    some = known[lead + np.maximum(length[w] - RUN + 1, 0)] > known[lead]
+    w, i = w[some], i[some]
+    # runs that lie inside each candidate passage, for its item
+    count = np.maximum(length[w] - RUN + 1, 0)
+    pair = np.repeat(np.arange(len(w)), count)
+    at = np.repeat(begin[w] + shift[text[w]], count) + (np.arange(len(pair)) - np.repeat(np.cumsum(count) - count, count))
+    wanted = grams[at] ^ mix(i[pair].astype(np.uint64))
+    place = np.minimum(np.searchsorted(index.runs, wanted), len(index.runs) - 1)
+    good = np.unique(pair[index.runs[place] == wanted])
+    found = np.unique(text[w[good]] * len(index.ids) + i[good])
+    return found // len(index.ids), found % len(index.ids)
+
+
+def _paraphrases(words: WordSlice, index: ItemIndex, text, begin, length, w, i, cosine, found) -> tuple[np.ndarray, np.ndarray]:
+    """Texts and items of candidates with enough close passages and a long common subsequence."""
+    close = cosine >= NEAR_COSINE
+    both, w = (text[w] * len(index.ids) + i)[close], w[close]
+    order = np.lexsort((w, both))
+    keys, at, count = np.unique(both[order], return_index=True, return_counts=True)
+    # short texts and items have fewer passages
+    want = np.minimum(np.minimum(np.bincount(text, minlength=words.n)[keys // len(index.ids)], index.n_passages[keys % len(index.ids)]), NEAR_PASSAGES)
+    often = (count >= want) & ~np.isin(keys, found)
+    doc, item = [], []
+    for key, one, last in zip(keys[often].tolist(), w[order][at[often]], w[order][at[often] + count[often] - 1]):
+        d, k = divmod(key, len(index.ids))
+        n = len(index.words[k])
+        part = words.hash[begin[one] : begin[last] + length[last]].tolist()
+        share = common_subsequence(index.places[k], n, part) / n
+        if share >= SUBSEQUENCE_ALONE or share >= SUBSEQUENCE_WITH_ANSWER and _holds(words.hash[words.first[d] : words.first[d + 1]], index.answers[k]):
+            doc.append(d)
+            item.append(k)
+    return np.array(doc, dtype=np.int64), np.array(item, dtype=np.int64)
+
+
 def leaked_items(documents: DataFrame, items: DataFrame, materialise, paraphrases: bool = False, sample: int = FIT_DOCUMENTS) -> DataFrame:
     """``doc_id, item_id, kind``: documents that give items away.
 
@@ -275,7 +378,8 @@ def leaked_items(documents: DataFrame, items: DataFrame, materialise, paraphrase
     read whole, whatever their length.
 
     Scale: the items are the query set, searched in blocks of ``ITEM_BLOCK``
-    against every document in one pass without shuffle. What is broadcast has
+    against every document in one pass without shuffle; a document passage is
+    compared with the item passages of ``PROBES`` clusters only. What is broadcast has
     a fixed size: the projection (2**FEATURE_BITS x LATENT numbers) and one
     block of items. Document frequencies cover all documents; only the
     projection is fitted on a bounded sample.
@@ -286,12 +390,13 @@ def leaked_items(documents: DataFrame, items: DataFrame, materialise, paraphrase
     idf = np.maximum(np.log((n + 1) / (df + 1)), 0.05)
     vectors = fit_projection(own, n, idf, materialise, sample)
     asked = items.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("answer", F.lit("")).alias("answer"))
+    matrix = (idf[:, None] * vectors).astype(np.float32)
     blocks = max(1, -(-asked.count() // ITEM_BLOCK))
     out = None
     for b in range(blocks):
         rows = asked.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id").collect()  # one block
-        index = ItemIndex([r.item_id for r in rows], [r.text for r in rows], [r.answer for r in rows], idf, vectors)
-        sent = spark.sparkContext.broadcast((idf, vectors, index))
+        index = ItemIndex([r.item_id for r in rows], [r.text for r in rows], [r.answer for r in rows], matrix)
+        sent = spark.sparkContext.broadcast((matrix, index))
         one = own.mapInArrow(_searcher(sent, paraphrases), "doc_id long, item_id long, kind string")
         out = one if out is None else out.unionByName(one)
     return out.distinct()

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from millrace.llm import defects, leakage, residue
+from millrace.llm.kernels import WordSlice
 from millrace.session import materialise
 
 Q = "Which word is printed on the red kite near the gate?"
@@ -111,9 +112,54 @@ def test_paraphrase_is_found_by_subsequence(spark):
 
 
 def test_common_subsequence():
-    a, b = np.array([1, 2, 3, 4, 5]), np.array([9, 2, 4, 4, 5, 1])
-    assert leakage.common_subsequence(a, b) == 3
-    assert leakage.common_subsequence(a[:0], b) == 0
+    a, b = [1, 2, 3, 4, 5], [9, 2, 4, 4, 5, 1]
+    common = lambda a, b: leakage.common_subsequence(leakage._places(np.array(a, dtype=np.int64)), len(a), b)
+    assert common(a, b) == 3 and common([], b) == 0 and common(a, []) == 0
+    rng = random.Random(6)
+    for _ in range(50):
+        a, b = ([rng.randrange(6) for _ in range(rng.randrange(90))] for _ in range(2))
+        table = [0] * (len(b) + 1)
+        for x in a:
+            before = 0
+            for j, y in enumerate(b, 1):
+                before, table[j] = table[j], before + 1 if x == y else max(table[j], table[j - 1])
+        assert common(a, b) == table[-1]
+
+
+def test_index_against_brute_force():
+    rng = np.random.default_rng(2)
+    matrix = rng.standard_normal((1 << leakage.FEATURE_BITS, 32)).astype(np.float32)
+    texts = [" ".join(f"v{x}" for x in rng.integers(0, 300, 70)) for _ in range(120)]
+    index = leakage.ItemIndex(list(range(120)), texts, [""] * 120, matrix)
+    docs = WordSlice([t + " " + " ".join(f"v{x}" for x in rng.integers(0, 300, 40)) for t in texts[:60]] + ["v1 v2"])
+    latent = leakage.document_latent(docs, matrix)
+    text, begin, length = leakage.document_passages(docs)
+    for t, b, n, v in zip(text, begin, length, latent):  # blocks add up to passages
+        assert np.allclose(v, leakage.unit(matrix[leakage.features(docs)[b : b + n]].sum(axis=0)[None])[0], atol=1e-4)
+    exact = set(zip(*(x.tolist() for x in index.search(latent, probes=10**6)[:2])))
+    brute = {(int(p), int(i)) for vectors, item, first in index.lists for p, q in zip(*np.nonzero(np.maximum.reduceat(latent @ vectors, first, axis=1) >= leakage.COSINE)) for i in [item[q]]}
+    assert exact == brute
+    strong = {(p, i) for p, i, c in zip(*(x.tolist() for x in index.search(latent, probes=10**6))) if c >= 0.6}
+    found = set(zip(*(x.tolist() for x in index.search(latent)[:2])))
+    assert found <= brute and len(found & strong) >= 0.9 * len(strong)
+
+
+def test_paraphrases_are_recalled(spark):
+    """Items with every tenth word changed and words inserted, amid other text: at least nine of ten are found."""
+    rng = random.Random(8)
+    vocabulary = [f"v{i}" for i in range(900)]
+    items = [[rng.choice(vocabulary) for _ in range(rng.randint(14, 90))] for _ in range(40)]
+    docs = []
+    for i, item in enumerate(items):
+        near = [w if (k + i) % 10 else "changed" for k, w in enumerate(item)]
+        near.insert(len(near) // 2, "inserted")
+        around = [[rng.choice(vocabulary) for _ in range(20 * (i % 2))] for _ in range(2)]
+        docs.append((i, " ".join(around[0] + near + around[1])))
+    docs += [(100 + i, " ".join(rng.choice(vocabulary) for _ in range(80))) for i in range(100)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    e = spark.createDataFrame([(i, " ".join(x), "") for i, x in enumerate(items)], "item_id long, text string, answer string")
+    got = {(r.doc_id, r.item_id) for r in leakage.leaked_items(d, e, materialise, paraphrases=True).collect()}
+    assert got <= {(i, i) for i in range(40)} and len(got) >= 36
 
 
 def test_residue(spark):
