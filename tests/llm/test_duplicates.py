@@ -76,10 +76,25 @@ def test_hot_set_of_copies(spark):
     assert got == {i: 0 for i in range(400)}
 
 
-def test_colliding_hashes_are_told_apart(spark, monkeypatch):
+def test_equal_by_stream_or_by_items(spark, monkeypatch):
+    """Punctuation that hides a field's edge, nested values, and sets that only others connect."""
+    rows = [
+        (1, "a: 1; b: 2; c: 3", "x", "", 0), (2, "a: 1; b: 2 c: 3", "X", "", 0), (3, "c: 3; a: 1; b: 2", "x!", "", 0), (4, "b: 2 c: 3; a: 1", "x", "", 0), (5, "a 1 b 2 c 3", "x", "", 0),
+        (11, '{"a": "1", "b": [1, 2]}', None, "", 0), (12, '{"b": [1, 2], "a": "1"}', "", "", 0), (13, '{"b": [2, 1], "a": "1"}', "", "", 0), (14, '{"q": {"x": 1, "y": "}"}, "r": 2}', "n", "", 0), (15, '{"r": 2, "q": {"x": 1, "y": "}"}}', "N", "", 0),
+        (20, "left side of the very long name of a field in this table: 1\nright: 2", "k", "", 0), (21, "Right: 2\nLeft side of the very long name of a field in this table: 1", "k", "", 0),
+    ]
+    want = {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 11: 11, 12: 11, 14: 14, 15: 14, 20: 20, 21: 20}
+    assert copies(spark, rows) == want
+    monkeypatch.setattr(outward, "COPIES_A_TASK", 1)
+    assert copies(spark, rows) == want
+
+
+def test_colliding_hashes_are_told_apart():
+    pa = __import__("pyarrow")
     rows = [(1, "a", "x"), (2, "b", "x"), (3, "A", "x"), (4, "B!", "X")]
-    batches = [__import__("pyarrow").RecordBatch.from_pydict({"c": [0] * 4, "r": [0] * 4, "id": [r[0] for r in rows], "chosen": [r[1] for r in rows], "rejected": [r[2] for r in rows]})]
-    out = [dict(zip(b.column("id").to_pylist(), b.column("rep").to_pylist())) for b in outward._verify(iter(batches))]
+    zero = {k: [0] * 4 for k in ("c", "r", "c_raw", "c_free", "r_raw", "r_free")} | {k: [False] * 4 for k in ("c_set", "r_set")}
+    batch = pa.RecordBatch.from_pydict(zero | {"id": [r[0] for r in rows], "chosen": [r[1] for r in rows], "rejected": [r[2] for r in rows]})
+    out = [dict(zip(b.column("id").to_pylist(), b.column("rep").to_pylist())) for b in outward._verify(iter([batch]))]
     assert out == [{1: 1, 2: 2, 3: 1, 4: 2}]
 
 
@@ -88,6 +103,10 @@ def test_rolling_hash_does_not_depend_on_blocks(monkeypatch):
     whole = outward.rolling_hash(text)
     monkeypatch.setattr(outward, "BLOCK", 7)
     assert outward.rolling_hash(text) == whole
+    texts = [text, "", "Straße: ẞ\nname: x", "…", "a: 1; b: 2"]
+    raw, free, is_set = outward.hash_texts(texts)
+    assert raw.tolist() == [outward.rolling_hash(t) for t in texts] and is_set.tolist() == [False, False, True, False, True]
+    assert outward.hash_texts(["b: 2\nA: 1!"])[1][0] == free[4] != raw[4]
     assert outward.same_answer(text, text.upper()) and not outward.same_answer(text, text + "y")
 
 
