@@ -1,9 +1,11 @@
 """Problem 4: broken prompt and response pairs.
 
-Responses are sorted by text and compared with all that share their start, so
-that a response that is a shortened version of another shows; lengths at which cut
-responses pile up are taken as length limits; then rules for copies, refusals
-and languages are applied to each pair.
+The sentences of all responses are sorted and compared with all that share
+their start: a response whose last, unfinished sentence is the start of a
+longer one, or shares much of it, is a shortened version. Lengths at which
+unfinished responses pile up are taken as length limits. What neither shows
+(and objects that do not close) is decided by how the response ends. Rules for
+copies, refusals and languages go before, as an answer has one defect at most.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.kernels import WordSlice, signed, slices
 from millrace.llm.outward import fields_of
+from millrace.operators.skew import salted_join
 from millrace.session import scan_slices
 
 LANGUAGES = ("en", "de", "fr", "es")
@@ -123,6 +126,8 @@ _WORD = re.compile(r"[^\W_]+")
 _CLOSERS = " \t\r\n\f\v\"'`´“”‘’«»„‚)]*_,;:  　​"
 _ENDS = ".!?。！？"
 _ITEM = re.compile(r"^\s*(?:\(?\d{1,3}[.)]|[-*•–])\s")
+#: Where a response is divided into sentences (the same in Java).
+_SENTENCE = r"(?<=[.!?。！？])[\"'”’»)*\]]*[ \t\r]+|\n+"
 _CHOICE = re.compile(r"^\s*[\"'(*]*\w{1,2}[.)]\s+")
 #: Words up to which an unfinished single sentence may also be a mere phrase.
 PHRASE_WORDS = 7
@@ -294,7 +299,7 @@ _FLAG_DDL = "src_table string, row_id long, field string, turn int, defect strin
 
 
 def _classifier(model_cast):
-    """Pairs to defects; ``open`` pieces come out with their text for the neighbour comparison."""
+    """Pairs to defects; unfinished answers (``cut``, ``open``) come out with their last sentence for the neighbour comparison."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: LanguageModel = model_cast.value
@@ -325,10 +330,9 @@ def _classifier(model_cast):
                         found = "other_language"
                     else:
                         state = cut_state(text)
-                        if state == "cut":
-                            found = "truncated"
-                        elif state == "open":
-                            found, own = "open", text
+                        if state != "whole":
+                            found = state
+                            own = None if text.lstrip(_CLOSERS + ".")[:1] in ("{", "[") else last_sentence(text)
                     if found:
                         pick.append(lo + i)
                         defect.append(found)
@@ -362,36 +366,47 @@ def _foreign(q: np.ndarray, q_known: int, a: np.ndarray, a_known: int, question:
 _STRIP = " \t\r\n\u00a0\u2009\u3000\u200b\"'`´“”‘’«»)]*_,;:.…"
 
 
-#: Characters up to which a piece is compared; longer responses only continue others.
-PIECE_CHARS = 200
-#: Least common start of two responses that are compared.
+#: Characters of a common start that are told apart; a longer piece needs so many in common.
+PIECE_CHARS = 400
+#: Least common start of two sentences that are compared.
 LEAST_START = 8
+#: Share of an unfinished sentence that a longer one must have in common with it.
+LEAST_SHARE = 0.4
+#: Before the first sentences of responses, to which pieces that may be whole are compared.
+_OPENING = "\x01"
+
+
+def last_sentence(text: str) -> str:
+    return next((p for x in reversed(re.split(_SENTENCE, text)) if (p := x.strip(_STRIP))), "")
 
 
 def _asks(text: str) -> list[tuple[int, int, str]]:
-    """(start, least, text): the piece is shortened if a response with the same ``start`` characters has ``least`` or more.
+    """(start, least, text): the piece is shortened if a sentence with the same ``start`` characters has ``least`` or more.
 
-    It is continued by one that starts with it and goes on, or it opens like
-    a sentence and shares its opening words with a much longer one.
+    It is continued by one that starts with it and goes on, or shares enough
+    of its start with a longer one. A piece that may be whole (``open``) is
+    held only against how responses open, and must be well outrun.
     """
     n = len(text)
-    if n < LEAST_START or n > PIECE_CHARS or not text[0].isupper() or len(_WORD.findall(text)) < 3:
+    if text[:1] != _OPENING:
+        return [(min(PIECE_CHARS, max(LEAST_START, math.ceil(LEAST_SHARE * n))), n + 3, text)] if n >= LEAST_START else []
+    if n <= LEAST_START:
         return []
-    out = [(n, n + 15, text)]
+    out = [(min(PIECE_CHARS, n), n + 15, text)]
     if not text.isupper():
-        out.append((max(LEAST_START, math.ceil(0.3 * n)), n + 20, text))
+        out.append((min(PIECE_CHARS, max(LEAST_START + 1, math.ceil(0.3 * n))), n + 20, text))
     return out
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted distinct responses to the pieces that another response shows to be cut (``cut``).
+    """Sorted distinct sentences (``text, ask``) to the pieces that another sentence shows to be cut (``cut``).
 
-    Responses with a common start follow each other, so the runs that the
-    last response is in form a stack, the longest common start on top; each
-    keeps its longest response and the pieces that wait for a longer one. A
+    Sentences with a common start follow each other, so the runs that the
+    last sentence is in form a stack, the longest common start on top; each
+    keeps its longest sentence and the pieces that wait for a longer one. A
     run that reaches the end of a partition may go on in others: its pieces
     come out as ``ask``, and as ``edge`` the starts of the first and the last
-    response with the most characters of a response that has them.
+    sentence with the most characters of a sentence that has them.
     """
     stack: list[list] = []  # [start, most, asks], ascending
     first, last, level = None, None, 0
@@ -423,7 +438,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 stack.append([depth, most, wait])
 
     for batch in batches:
-        for text in batch.column(0).to_pylist():
+        for text, asks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             depth = min(len(text), PIECE_CHARS)
             if last is None:
                 first, level = text, depth
@@ -435,9 +450,9 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 first_most[level] = max(first_most.get(level, 0), len(text))
             if stack and stack[-1][0] == depth:
                 stack[-1][1] = max(stack[-1][1], len(text))
-                stack[-1][2] += _asks(text)
+                stack[-1][2] += _asks(text) if asks else []
             else:
-                stack.append([depth, len(text), _asks(text)])
+                stack.append([depth, len(text), _asks(text) if asks else []])
             last = text
         yield pa.RecordBatch.from_pydict(out, schema=_NEAR)
         for v in out.values():
@@ -485,29 +500,36 @@ def broken_pairs(pairs: DataFrame, materialise, sample_rows: int = 20_000) -> Da
     equal rows give equal results; an empty table gives an empty result;
     extra columns are ignored; whole texts are read, of any length.
 
+    A fifth column, ``evidence``, says what showed a truncation: ``neighbour``,
+    ``limit`` or ``end``; it is null for other defects.
+
     Scale: classification is one pass without shuffle. For the neighbour
-    comparison distinct responses are range-sorted (repeats collapse in the
-    partial aggregation, so a frequent answer costs one row) and each is
+    comparison distinct sentences are range-sorted (repeats collapse in the
+    partial aggregation, so a frequent sentence costs one row) and each is
     compared with all that share its start, across partitions by at most
-    ``2 * PIECE_CHARS`` starts a partition; only the short pieces without an
-    end are joined with its outcome.
+    ``2 * PIECE_CHARS`` starts a partition; only unfinished answers are joined
+    with its outcome.
     """
     spark = pairs.sparkSession
     own = pairs.select("src_table", F.col("row_id").cast("long").alias("row_id"), "field", F.col("turn").cast("int").alias("turn"), "question", "answer")
     own = scan_slices(own)
     model = fit_languages(own.select(F.col("row_id").alias("key"), F.concat_ws("\n", "question", "answer").alias("text")), sample_rows)
     flagged = materialise(own.mapInArrow(_classifier(spark.sparkContext.broadcast(model)), _FLAG_DDL), "pair-flags")
-    sure = flagged.where("defect <> 'open'").select("src_table", "row_id", "field", "turn", "defect")
-    maybe = flagged.where("defect = 'open'").withColumn("text", F.rtrim("key", F.lit(_STRIP))).drop("defect", "key")
-
-    limits = _length_limits(flagged.where("defect = 'truncated'"))
-    texts = own.select(F.rtrim("answer", F.lit(_STRIP)).alias("text")).where(F.length("text") >= 8).distinct()
-    sorted_texts = texts.repartitionByRange("text").sortWithinPartitions("text")
-    near = materialise(sorted_texts.mapInArrow(_neighbours, _NEAR_DDL), "pair-neighbours")
+    names = ["src_table", "row_id", "field", "turn"]
+    sure = flagged.where("defect NOT IN ('cut', 'open')").select(*names, "defect", F.lit(None).cast("string").alias("evidence"))
+    maybe = flagged.where("defect IN ('cut', 'open')").withColumn("text", F.when(F.col("defect") == "open", F.concat(F.lit(_OPENING), "key")).otherwise(F.col("key"))).drop("key")
+
+    pieces = maybe.where("text IS NOT NULL").select("text", F.lit(True).alias("ask"))
+    bare = F.regexp_replace("answer", r"(?i)<\s*/?\s*(?:image|video|audio)\s*>", " ")
+    said = own.where("answer IS NOT NULL").select(F.transform(F.split(bare, _SENTENCE), lambda x: F.btrim(x, F.lit(_STRIP))).alias("said"))
+    said = said.select(F.explode(F.concat("said", F.array(F.concat(F.lit(_OPENING), F.col("said")[0])))).alias("text")).where(F.length("text") >= LEAST_START)
+    texts = said.select("text", F.lit(False).alias("ask")).unionByName(pieces).groupBy("text").agg(F.max("ask").alias("ask"))
+    near = materialise(texts.repartitionByRange("text").sortWithinPartitions("text").mapInArrow(_neighbours, _NEAR_DDL), "pair-neighbours")
     short = near.where("kind = 'cut'").select("text").unionByName(_across(near)).distinct()
-    by_text = maybe.join(short, "text", "left_semi")
-    by_limit = maybe.join(limits, "chars", "left_semi")
-    cut = by_text.unionByName(by_limit.select(by_text.columns)).select("src_table", "row_id", "field", "turn").distinct().withColumn("defect", F.lit("truncated"))
+    limits = _length_limits(maybe.where("defect = 'cut'"))
+    shown = salted_join(maybe, short.withColumn("_near", F.lit(True)), ["text"], "left", spread_by="row_id").join(limits.withColumn("_limit", F.lit(True)), "chars", "left")
+    evidence = F.when(F.col("_near"), F.lit("neighbour")).when(F.col("_limit"), F.lit("limit")).when(F.col("defect") == "cut", F.lit("end"))
+    cut = shown.withColumn("evidence", evidence).where("evidence IS NOT NULL").select(*names, F.lit("truncated").alias("defect"), "evidence")
     return sure.unionByName(cut)
 
 
@@ -521,7 +543,8 @@ def _length_limits(cut: DataFrame, least: int = 20, factor: float = 5.0, around:
     """Lengths (``chars``) at which cut responses pile up.
 
     A length is a limit if at least ``least`` responses are cut there, and
-    ``factor`` times as many as on average within ``around`` characters.
+    ``factor`` times as many as on average within ``around`` characters (so
+    there is at most one in ``least`` cut responses, and in practice a few).
     """
     hist = cut.groupBy("chars").agg(F.count(F.lit(1)).alias("n"))
     near = Window.partitionBy(F.lit(0)).orderBy("chars").rangeBetween(-around, around)  # one row a length

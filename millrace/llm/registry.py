@@ -61,12 +61,14 @@ def question_answer_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every defective answer with its kind of defect."""
-    return broken_pairs(question_answer_pairs(spark, folder), materialise)
+    return broken_pairs(question_answer_pairs(spark, folder), materialise).drop("evidence")
 
 
 def p4_summary(spark: SparkSession, folder: str) -> DataFrame:
-    """Number of defective answers by table, field and kind."""
-    return p4_found(spark, folder).groupBy("src_table", "field", "defect").agg(F.count(F.lit(1)).alias("n_answers"))
+    """Number of defective answers by table, field and kind, and how many truncations neighbours and length limits show."""
+    found = broken_pairs(question_answer_pairs(spark, folder), materialise)
+    shown = [F.sum(F.when(F.col("evidence") == k, 1).otherwise(0)).alias(n) for k, n in (("neighbour", "n_by_neighbour"), ("limit", "n_by_limit"))]
+    return found.groupBy("src_table", "field", "defect").agg(F.count(F.lit(1)).alias("n_answers"), *shown)
 
 
 #: Characters a training sequence holds.

@@ -21,7 +21,8 @@ def shown(texts, cuts):
     """Pieces found with the sorted texts in partitions that end at ``cuts``."""
     texts, found, asks, most = sorted(set(texts)), set(), [], {}
     for a, b in zip([0, *cuts], [*cuts, len(texts)]):
-        batches = [pa.RecordBatch.from_pydict({"text": texts[i : min(b, i + 3)]}) for i in range(a, b, 3)]
+        parts = [texts[i : min(b, i + 3)] for i in range(a, b, 3)]
+        batches = [pa.RecordBatch.from_pydict({"text": x, "ask": [True] * len(x)}) for x in parts]
         for r in (r for x in defects._neighbours(iter(batches)) for r in x.to_pylist()):
             if r["kind"] == "cut":
                 found.add(r["text"])
@@ -35,7 +36,8 @@ def shown(texts, cuts):
 def test_pieces_meet_all_that_share_their_start():
     rng = random.Random(5)
     for _ in range(300):
-        full = ["The " + "".join(rng.choice("ab ") for _ in range(rng.randint(5, 230))) for _ in range(3)]
+        opening = rng.choice(["", defects._OPENING])
+        full = [opening + "The " + "".join(rng.choice("ab ") for _ in range(rng.randint(5, rng.choice([230, 900])))) for _ in range(3)]
         texts = sorted({t[: rng.randint(3, len(t))] for t in full for _ in range(8)} | set(full[: rng.randint(0, 3)]) | {"Zoo one two"})
         expected = {t for t in texts for start, least, _ in defects._asks(t) if any(o[:start] == t[:start] and len(o) >= least for o in texts)}
         for n in range(4):
@@ -64,9 +66,25 @@ def test_pairs_of_the_least_similarity_are_candidates():
     rng, n = np.random.default_rng(3), 4000  # pairs with 45 of 75 elements in common
     common, own = rng.integers(0, 1 << 63, (n, 1, 45), dtype=np.uint64), rng.integers(0, 1 << 63, (n, 2, 15), dtype=np.uint64)
     value = np.concatenate([np.repeat(common, 2, axis=1), own], axis=2).reshape(-1)
-    sketches = near.sketch_rows(value, np.repeat(np.arange(2 * n), 60), 2 * n, near.BANDS * near.ROWS)
-    keys = near.band_keys(sketches, near.BANDS, near.ROWS)
-    assert ((keys[::2] == keys[1::2]).sum(axis=1) < near.AGREE).mean() < 0.002
+    sketches = near.sketch_rows(value, np.repeat(np.arange(2 * n), 60), 2 * n, near.BINS)
+    keys, bits = near.band_keys(sketches, near.BANDS, near.ROWS), near.sketch_bits(sketches)
+    found = (keys[::2] == keys[1::2]).any(axis=1) & (near._agree(bits[::2], bits[1::2]) >= near.least_bits((6, 10)))
+    assert (~found).mean() < 0.002
+
+
+def test_most_truncations_are_shown_by_neighbours(spark):
+    """Whole answers of one kind teach nothing by rule here: the end rule alone would not tell which evidence there is."""
+    rng = random.Random(1)
+    colours, things = ["red", "blue", "old", "tiny", "glossy"], ["kite", "lamp", "tram", "vase", "goat"]
+    sentence = lambda: f"The {rng.choice(colours)} {rng.choice(things)} stands near the {rng.choice(things)} and hides a {rng.choice(colours)} {rng.choice(things)}."
+    answers = [" ".join(sentence() for _ in range(3)) for _ in range(120)]
+    cut = [a[: rng.randint(len(a) * 3 // 4, len(a) - 8)] for a in answers[:40]]
+    cut = [a for a in cut if defects.cut_state(a) == "cut"]
+    rows = [("t", i, "f", 0, Q, a) for i, a in enumerate(answers + cut + ['{"a": "x", "b'])]
+    df = spark.createDataFrame(rows, "src_table string, row_id long, field string, turn int, question string, answer string")
+    got = {r.row_id: (r.defect, r.evidence) for r in defects.broken_pairs(df, materialise).collect()}
+    assert set(got) == set(range(120, len(rows))) and got[len(rows) - 1] == ("truncated", "end")
+    assert sum(e == "neighbour" for _, e in got.values()) >= 0.9 * len(cut)
 
 
 def test_refusals_of_any_length(spark):
