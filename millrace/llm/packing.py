@@ -17,14 +17,10 @@ from pyspark.sql import functions as F
 
 #: Pieces a packing group: large enough that the one sequence a group may
 #: leave part empty hardly counts, small enough for one task's memory.
-GROUP_PIECES = 50_000
-#: Cost of attention against the rest of a layer: n**2 / (12 * width) for a
-#: model of this width, with units taken as tokens.
-QUADRATIC = 1 / (12 * 1536)
-#: Further sequences, as a share of the least number, and weights of the
-#: quadratic part that are tried; the packing with fewest sequences is kept.
-STARTS = (0.0, 0.002, 0.005)
-WEIGHTS = (1, 2, 4)
+GROUP_PIECES = 25_000
+#: Cost of attention against the rest of a layer, 4 * n * width against
+#: 24 * width**2 operations a token, with units taken as tokens.
+QUADRATIC = 1 / (6 * 1536)
 
 
 def pack_sizes(sizes: list[int], capacity: int, linear: float, quadratic: float, start: int) -> tuple[list[int], int]:
@@ -48,7 +44,7 @@ def pack_sizes(sizes: list[int], capacity: int, linear: float, quadratic: float,
             heapq.heappush(ready, (cost[k], k))
         if ready:
             k = heapq.heappop(ready)[1]
-        elif not size:
+        elif not size and room:
             k = 0
         else:
             k = len(room)
@@ -68,8 +64,8 @@ def _pack_group(capacity: int, linear: float, quadratic: float) -> Callable[[pd.
     def run(pieces: pd.DataFrame) -> pd.DataFrame:
         p = pieces.sort_values(["n", "id", "piece"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         sizes = p["n"].tolist()
-        least = max(1, -(-sum(sizes) // capacity))
-        tries = [pack_sizes(sizes, capacity, linear, weight * quadratic, least + int(least * more)) for weight in WEIGHTS for more in STARTS]
+        # all needed sequences open from the start, for balance; or, if that takes fewer, opened when none has room
+        tries = [pack_sizes(sizes, capacity, linear, quadratic, start) for start in (max(1, -(-sum(sizes) // capacity)), 0)]
         place = min(tries, key=lambda t: t[1])[0]
         # sequences that stayed empty have no number
         p["seq"] = pd.Series(place, dtype="int64").rank(method="dense").astype("int64") - 1
@@ -108,6 +104,7 @@ def pack(records: DataFrame, capacity: int, materialise, linear: float = 1.0, qu
     groups = max(1, -(-total // group_pieces))
     full, part = pieces.where(F.col("n") == capacity), pieces.where(F.col("n") < capacity)
     part = part.withColumn("grp", F.pmod(F.xxhash64("id", "piece"), F.lit(groups)).cast("int"))
+    part = part.repartition(groups, "grp")  # a number of its own keeps small groups apart
     packed = materialise(part.groupBy("grp").applyInPandas(_pack_group(capacity, linear, quadratic), "grp int, id long, piece int, n long, seq long, offset long"), "packed")
     used = packed.groupBy("grp").agg((F.max("seq") + 1).cast("long").alias("_used"))
     order = Window.orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)  # one row a group

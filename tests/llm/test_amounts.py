@@ -54,6 +54,33 @@ def test_lowest_cost_with_room_is_chosen():
     assert packing.pack_sizes([], 10, 1.0, 0.0, 1) == ([], 1)
 
 
+def test_costs_are_balanced():
+    """The spread of costs stays below that of filling one sequence after the other, at about as many sequences."""
+    rng = random.Random(4)
+    sizes = sorted((rng.randint(20, 480) for _ in range(4000)), reverse=True)
+    cost = lambda place: [sum(x + x * x * packing.QUADRATIC for x in own) for own in _by_sequence(sizes, place)]
+    spread = lambda c: (sum((x - sum(c) / len(c)) ** 2 for x in c) / len(c)) ** 0.5 / (sum(c) / len(c))
+    least = -(-sum(sizes) // 1000)
+    balanced, n = packing.pack_sizes(sizes, 1000, 1.0, packing.QUADRATIC, least)
+    greedy, m = packing.pack_sizes(sizes, 1000, 1.0, packing.QUADRATIC, 0)
+    assert n <= least * 1.01 and spread(cost(balanced)) < spread(cost(greedy)) and spread(cost(balanced)) < 0.12
+
+
+def _by_sequence(sizes, place):
+    out = defaultdict(list)
+    for x, p in zip(sizes, place):
+        out[p].append(x)
+    return list(out.values())
+
+
+def test_very_many_repeats_are_not_written(spark):
+    """Allowing a thousand million repeats costs nothing where the budget needs a few."""
+    docs = [(i, "ab"[i % 2], 10) for i in range(400)]
+    chosen, shares = _mix(spark, docs, [("a", 0.25, 1_000_000_000), ("b", 0.75, 1_000_000_000)], budget=8000)
+    assert shares["a"].tokens == pytest.approx(2000, abs=10) and shares["b"].tokens == pytest.approx(6000, abs=10)
+    assert max(r["repeats"] for r in chosen) == 3
+
+
 def _mix(spark, docs, targets, **more):
     d = spark.createDataFrame(docs, "id long, source string, tokens long")
     t = spark.createDataFrame(targets, "source string, target_share double, max_repeats int")

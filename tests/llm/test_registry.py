@@ -12,7 +12,7 @@ COLUMNS = {
     "p3_found": ["rec_a", "rec_b"],
     "p3_classes": ["rec_id", "class_id", "n_links"],
     "p4_found": ["src_table", "row_id", "field", "turn", "defect"],
-    "p4_summary": ["src_table", "field", "defect", "n_answers"],
+    "p4_summary": ["src_table", "field", "defect", "n_answers", "n_by_neighbour", "n_by_limit"],
     "p5_sequences": ["rec_id", "piece", "length", "sequence", "offset"],
     "p5_fill": ["n_sequences", "n_chars", "least_sequences", "mean_fill", "cost_spread"],
     "p6_found": ["doc_id", "item_id"],
