@@ -105,14 +105,17 @@ def trim_answer(s: Column) -> Column:
     return F.regexp_replace(F.lower(s), r"(?U)^\s+|[\s.!。，,]+$", "")
 
 
+# Names of answer tags, and the forms of numbers and scores below.
 ANSWER_TAGS = ("answer", "solution", "final")
 
 
 def inner_answer(s: Column) -> Column:
     """Text inside the first answer tag, thinking blocks removed; the whole text if there is none."""
-    clean = F.regexp_replace(F.coalesce(s, F.lit("")), r"(?is)<\s*think\s*>.*?<\s*/\s*think\s*>", " ")
+    text = F.coalesce(s, F.lit(""))
+    clean = F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, r"(?is)<\s*think\s*>.*?<\s*/\s*think\s*>", " ")).otherwise(text)
     tagged = r"(?is)<\s*(" + "|".join(ANSWER_TAGS) + r")\s*>(.*?)<\s*/\s*\1\s*>"
-    return F.when(clean.rlike(tagged), F.regexp_extract(clean, tagged, 2)).otherwise(clean)
+    # few texts have a tag at all; only those are searched for a pair of them
+    return F.when(F.contains(clean, F.lit("<")) & clean.rlike(tagged), F.regexp_extract(clean, tagged, 2)).otherwise(clean)
 
 
 def normal_answer(s: Column) -> Column:

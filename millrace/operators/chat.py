@@ -11,8 +11,12 @@ from millrace.functions.text import EXCLUDED_PREFIXES, IMAGE_FOLDERS, path_prefi
 ROLES = {"human": "user", "gpt": "assistant"}
 
 
+#: White space of Unicode (the class of ``(?U)\s``), as characters to trim.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def _stripped(s: Column) -> Column:
-    return F.regexp_replace(s, r"(?U)^\s+|\s+$", "")
+    return F.btrim(s, F.lit(SPACES))
 
 
 def normalised(turns: Column, tag: str | None = None) -> Column:
@@ -24,13 +28,13 @@ def normalised(turns: Column, tag: str | None = None) -> Column:
     the first turn gets it in front unless it holds ``<image>`` already. Null
     turns count as blank.
     """
-    role = lambda t: F.when(t["from"] == "human", ROLES["human"]).when(t["from"] == "gpt", ROLES["gpt"])
-    messages = F.transform(turns, lambda t: F.struct(role(t).alias("role"), _stripped(t["value"]).alias("content")))
-    bad = F.exists(messages, lambda m: m["role"].isNull() | (F.coalesce(m["content"], F.lit("")) == ""))
-    shape = (F.size(messages) >= 2) & (F.get(messages, F.lit(0))["role"] == "user") & (F.element_at(messages, -1)["role"] == "assistant")
-    if tag:
-        tagged = lambda m, i: F.when((i == 0) & (m["role"] == "user") & ~F.contains(m["content"], F.lit("<image>")), F.concat(F.lit(tag), m["content"])).otherwise(m["content"])
-        messages = F.transform(messages, lambda m, i: F.struct(m["role"].alias("role"), tagged(m, i).alias("content")))
+    # tests read the raw turns; contents are stripped once, in the one transform
+    blank = lambda t: ~F.coalesce(t["value"].rlike(r"(?U)\S"), F.lit(False))
+    bad = F.exists(turns, lambda t: ~F.coalesce(t["from"].isin(*ROLES), F.lit(False)) | blank(t))
+    shape = (F.size(turns) >= 2) & (F.get(turns, F.lit(0))["from"] == "human") & (F.element_at(turns, -1)["from"] == "gpt")
+    role = lambda t: F.when(t["from"] == "human", ROLES["human"]).otherwise(ROLES["gpt"])
+    lead = lambda t, i: F.when((i == 0) & ~F.contains(t["value"], F.lit("<image>")), F.lit(tag or "")).otherwise(F.lit(""))
+    messages = F.transform(turns, lambda t, i: F.struct(role(t).alias("role"), F.concat(lead(t, i), _stripped(t["value"])).alias("content")))
     return F.when(shape & ~bad, messages)
 
 
@@ -51,6 +55,16 @@ def question_answer(question: Column, answer: Column) -> Column:
     return F.array(F.struct(F.lit("user").alias("role"), question.alias("content")), F.struct(F.lit("assistant").alias("role"), answer.alias("content")))
 
 
+def video_turns(question: Column, answer: Column) -> Column:
+    """The two turns of a video annotation: a media tag before the question, both stripped; null if either is."""
+    return question_answer(F.concat(F.lit("<video>\n"), _stripped(question)), _stripped(answer))
+
+
+def first_turn(turns: Column, side: str = "human") -> Column:
+    """Text of the first turn of a side, empty if it has none."""
+    return F.coalesce(F.get(F.filter(turns, lambda t: t["from"] == side), F.lit(0))["value"], F.lit(""))
+
+
 def routed(df: DataFrame) -> DataFrame:
     """``id, media_type, images, videos, media`` of ``id, kind, path``: one column filled, the other empty."""
     none, one = F.array().cast("array<string>"), F.array("path")

@@ -23,6 +23,16 @@ def is_finite(x: Column) -> Column:
     return ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
 
 
+def finite(x: Column) -> Column:
+    """The reading if it is a finite number, else null."""
+    return F.when(is_finite(x), x)
+
+
+def reading_state(x: Column) -> Column:
+    """``ok``, ``nan`` or ``inf`` (of either sign), null for no reading: what :func:`finite` leaves out."""
+    return F.when(F.isnan(x), "nan").when(F.abs(x) == F.lit(float("inf")), "inf").when(x.isNotNull(), "ok")
+
+
 def series(log: DataFrame, value: str) -> DataFrame:
     """Numbered rows with a value and a step other than 0 (step 0 is dropped)."""
     rows = log.where(F.col(value).isNotNull() & F.col("step").isNotNull() & (F.col("step") != 0))
@@ -63,7 +73,7 @@ def loss_level(rows: DataFrame, last: int = 50, factor: float = 3.0) -> DataFram
     return good.unionByName(bad)
 
 
-def streak(rows: DataFrame, holds: Column, reach: int) -> DataFrame:
+def streak(rows: DataFrame, holds: Column, reach: int, keys: Sequence[str] = KEYS) -> DataFrame:
     """Adds ``streak``: how many of the last ``reach`` rows, up to this one, hold without a break."""
 
     def add(d: DataFrame, w) -> DataFrame:
@@ -73,7 +83,7 @@ def streak(rows: DataFrame, holds: Column, reach: int) -> DataFrame:
         first = F.min("_row").over(frame)
         return d.withColumn("streak", F.col("_row") - F.coalesce(broken, first - 1)).drop("_holds")
 
-    return trailing(rows, KEYS, reach, add)
+    return trailing(rows, keys, reach, add)
 
 
 def gradient_level(rows: DataFrame, last: int = 40, least: int = 8, large: float = 100.0) -> DataFrame:

@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import trim_answer
+
+#: Models and benchmarks that a report's grid may have.
+GRID_NAMES = 10_000
+
 
 def matrix(models: DataFrame, benches: DataFrame, scores: DataFrame, baseline: str, digits: int = 3) -> DataFrame:
     """Every model and benchmark with its score and the rounded difference to the baseline's.
 
     Models and benchmarks are names, a handful of rows each; their product is
-    the report's grid. Missing scores and differences are null.
+    the report's grid, and more than ``GRID_NAMES`` of either raise. Missing
+    scores and differences are null.
     """
+    for names in (models, benches):
+        if names.limit(GRID_NAMES + 1).count() > GRID_NAMES:
+            raise ValueError(f"a grid has at most {GRID_NAMES} names a side")
     grid = models.crossJoin(benches)
     base = scores.where(F.col("model") == baseline).select("bench", F.col("score").alias("_base"))
     full = grid.join(scores, ["model", "bench"], "left").join(base, "bench", "left")
@@ -53,3 +65,29 @@ def compare_sides(answers: DataFrame) -> DataFrame:
     r0, r1, r2 = right(F.col("b.said")), right(F.col("said")), right(F.col("gold"))
     better, worse = F.count_if(~r0 & r2), F.count_if(r0 & ~r2)
     return both.agg(F.count(F.lit(1)).alias("n"), better.alias("improved"), worse.alias("regressed"), (better - worse).alias("net"), F.count_if(~r0 & r1 & r2).alias("all_improved"))
+
+
+def compare_models(base: DataFrame, *others: DataFrame) -> DataFrame:
+    """Changes from a first model's predictions to those of others, aligned on its ids.
+
+    ``base``: ``index, answer, said``; others: ``index, said`` (ids unique).
+    Ids that only others have vanish; an id that another lacks counts as the
+    text ``nan`` there, and so mostly as wrong. ``improved`` and ``regressed``
+    ask for all others, ``improved_by_any`` for one; ``format_only`` counts
+    equal answers of base and first other in different form.
+    """
+    out = base.withColumnRenamed("said", "_0")
+    for i, other in enumerate(others, 1):
+        out = out.join(other.select("index", F.col("said").alias(f"_{i}")), "index", "left")
+    raw = [F.coalesce(f"_{i}", F.lit("nan")) for i in range(len(others) + 1)]
+    norm = [trim_answer(x) for x in raw]
+    right = [x == trim_answer(F.coalesce("answer", F.lit("nan"))) for x in norm]
+    every, some = reduce(lambda a, b: a & b, right[1:]), reduce(lambda a, b: a | b, right[1:])
+    better, worse = F.count_if(~right[0] & every), F.count_if(right[0] & ~some)
+    return out.agg(F.count(F.lit(1)).alias("n"), better.alias("improved"), worse.alias("regressed"), (better - worse).alias("net"), F.count_if(~right[0] & some).alias("improved_by_any"), F.count_if((norm[0] == norm[1]) & (raw[0] != raw[1])).alias("format_only"))
+
+
+def pivoted(grid: DataFrame, benches: Sequence[str]) -> DataFrame:
+    """A row a model and a column ``c_<bench>`` a named benchmark, with the report's cells."""
+    wide = grid.select("model", "bench", cell(F.col("score"), F.col("delta")).alias("_cell")).groupBy("model").pivot("bench", list(benches)).agg(F.first("_cell"))
+    return wide.select("model", *[F.coalesce(F.col(b), F.lit("—")).alias(f"c_{b}") for b in benches])

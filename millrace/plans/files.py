@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
-from millrace.operators import profile, quality
+from millrace.operators import monitor, profile, quality
 from millrace.plans.health import ORACLES as _HEALTH
 from millrace.session import discard_at_exit, materialise, shared_folder, table
 from millrace.sources import io
@@ -35,7 +35,9 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     log = table(spark, folder, "train_metrics")
     path = _folder(spark, "csv")
     io.write_csv(log, path, log.columns)
-    return io.read_csv(spark, path, log.schema).select("run_id", "ts", "step", "loss", "grad_norm", "total_steps")
+    back = io.read_csv(spark, path, log.schema)
+    readings = [f(F.col(c)).alias(n) for c in ("loss", "grad_norm") for f, n in ((monitor.reading_state, f"{c}_state"), (monitor.finite, c))]
+    return back.select("run_id", "ts", "step", *readings, "total_steps")
 
 
 def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,13 +49,12 @@ def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def torn_log_parse(spark: SparkSession, folder: str) -> DataFrame:
-    """A trainer log with torn lines: what parses, the last line of each step."""
-    log = table(spark, folder, "train_metrics").where("step IS NOT NULL AND NOT isnan(loss)").distinct()
+    """A trainer log as JSON lines: what parses, the last line of each step."""
+    log = table(spark, folder, "train_metrics").where("step IS NOT NULL").distinct()
     line = F.to_json(F.struct(F.col("step").alias("current_steps"), "total_steps", "loss", "lr", "epoch"))
-    torn = log.select("run_id", "ts", "written_at", F.when(F.col("step") % 11 == 0, F.substring(line, 1, 15)).when(F.col("step") % 13 == 0, F.concat(F.lit("INFO "), line)).otherwise(line).alias("value"))
-    parsed = io.parse_log_objects(torn, "value", "current_steps long, global_step long, total_steps long, loss double")
+    parsed = io.parse_log_objects(log.select("run_id", "ts", "written_at", line.alias("value")), "value", "current_steps long, global_step long, total_steps long, loss double")
     parsed = parsed.withColumn("step", F.coalesce("current_steps", "global_step"))
-    return quality.keep_last(parsed, ["run_id", "step"], ["ts", "written_at"], ["loss"]).select("run_id", "step", "ts", "loss")
+    return quality.keep_last(parsed, ["run_id", "step"], ["ts", "written_at"], ["loss"]).select("run_id", "step", "ts", monitor.reading_state(F.col("loss")).alias("loss_state"), monitor.finite(F.col("loss")).alias("loss"))
 
 
 def process_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,11 +136,11 @@ ALERTS = _HEALTH["alert_suppression"]
 QUERIES = {f.__name__: f for f in (jsonl_roundtrip, csv_roundtrip, parquet_roundtrip, torn_log_parse, process_log, log_errors, loss_lines, nested_results, stream_latest, stream_alerts, fingerprint_groups, source_risks, run_markers)}
 ORACLES = {
     "jsonl_roundtrip": "SELECT pair_id, source, length(chosen.content) AS n, md5(rejected.content) AS rejected, coalesce(len(images), -1) AS n_images, ingested_at FROM dpo_records",
-    "csv_roundtrip": "SELECT run_id, ts, step, loss, grad_norm, total_steps FROM train_metrics",
+    "csv_roundtrip": "SELECT run_id, ts, step, CASE WHEN isnan(loss) THEN 'nan' WHEN isinf(loss) THEN 'inf' WHEN loss IS NOT NULL THEN 'ok' END AS loss_state, CASE WHEN isfinite(loss) THEN loss END AS loss, CASE WHEN isnan(grad_norm) THEN 'nan' WHEN isinf(grad_norm) THEN 'inf' WHEN grad_norm IS NOT NULL THEN 'ok' END AS grad_norm_state, CASE WHEN isfinite(grad_norm) THEN grad_norm END AS grad_norm, total_steps FROM train_metrics",
     "parquet_roundtrip": "SELECT * FROM part",
-    "torn_log_parse": "SELECT run_id, step, ts, loss FROM (SELECT *, row_number() OVER (PARTITION BY run_id, step ORDER BY ts DESC, written_at DESC, loss DESC NULLS LAST) AS r FROM train_metrics WHERE step IS NOT NULL AND (loss IS NULL OR NOT isnan(loss)) AND step % 11 <> 0 AND step % 13 <> 0 AND loss IS NOT NULL) WHERE r = 1",
+    "torn_log_parse": "SELECT run_id, step, ts, CASE WHEN isnan(loss) THEN 'nan' WHEN isinf(loss) THEN 'inf' WHEN loss IS NOT NULL THEN 'ok' END AS loss_state, CASE WHEN isfinite(loss) THEN loss END AS loss FROM (SELECT *, row_number() OVER (PARTITION BY run_id, step ORDER BY ts DESC, written_at DESC, loss DESC NULLS LAST) AS r FROM train_metrics WHERE step IS NOT NULL) WHERE r = 1",
     "process_log": "WITH l AS (SELECT DISTINCT * FROM train_metrics) SELECT 'python' AS name, count(*) AS n, sum(round(anon_mb)) AS mb, date_trunc('second', max(iso)) AS last_at FROM l WHERE anon_mb IS NOT NULL UNION ALL SELECT 'pt:worker', count(*), sum(round(file_mb)), date_trunc('second', max(iso)) FROM l WHERE file_mb IS NOT NULL",
-    "log_errors": r"""WITH t AS (SELECT doc_id, string_split(CASE WHEN length(text) > 400 THEN right(text, 400) ELSE text END, chr(10)) AS l FROM documents WHERE text IS NOT NULL), e AS (SELECT doc_id, unnest(l) AS v, unnest(range(len(l))) AS i FROM t)
+    "log_errors": r"""WITH t AS (SELECT doc_id, string_split(replace(text, chr(13), chr(10)), chr(10)) AS l FROM documents WHERE text IS NOT NULL), e AS (SELECT doc_id, unnest(l) AS v, unnest(range(len(l))) AS i FROM t)
 SELECT doc_id, substr(arg_min(v, i), 1, 200) AS said FROM e WHERE regexp_matches(v, '(?i)error|forbidden|unavailable|skipped one clip') AND NOT contains(v, 'skipped one clip |') GROUP BY 1""",
     "loss_lines": "WITH n AS (SELECT doc_id, list_transform(regexp_extract_all(text, 'loss ([0-9.]+)', 1), lambda x: try_cast(x AS DOUBLE)) AS l FROM documents) SELECT doc_id, l[len(l)] AS loss, round(list_sum(l[greatest(1, len(l) - 39):]), 6) AS last_40 FROM n WHERE len(l) > 0",
     "nested_results": "SELECT doc_id, round((n_chars % 1000) / 10.0::DOUBLE, 3) AS value, CASE WHEN doc_id % 2 = 0 THEN 2 ELSE 1 END::BIGINT AS n_splits FROM documents WHERE n_chars IS NOT NULL",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import reward
 from millrace.functions import text as T
-from millrace.operators import pairs, results
+from millrace.operators import monitor, pairs, results
 from millrace.session import table
 
 # Predictions and gold answers with their reward.
@@ -45,8 +45,14 @@ def media_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 def error_taxonomy(spark: SparkSession, folder: str) -> DataFrame:
     """Probe states by the first failure mark in their text, most frequent first."""
-    meta = table(spark, folder, "video_meta").withColumn("said", F.concat_ws(" ", F.lit("message:"), "status"))
-    return meta.groupBy(T.first_mark(F.col("said"), T.PROBE_ERRORS).alias("kind")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "kind")
+    meta = table(spark, folder, "video_meta")
+    return meta.groupBy(T.first_mark(F.col("status"), T.PROBE_ERRORS).alias("kind")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "kind")
+
+
+def fetch_taxonomy(spark: SparkSession, folder: str) -> DataFrame:
+    """Download outcomes by the first mark in their message, with the default of messages without any."""
+    said = table(spark, folder, "video_meta").select(F.when(F.col("duration").isNull(), F.concat(F.lit("Requested format is not available, "), "status")).otherwise(F.concat(F.lit("video "), F.upper("status"))).alias("said"))
+    return said.groupBy(T.first_mark(F.col("said"), T.FETCH_ERRORS).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def answer_norm(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,7 +76,8 @@ def reward_score(spark: SparkSession, folder: str) -> DataFrame:
     """Rejected answers scored against the chosen ones, with a format share."""
     dpo = table(spark, folder, "dpo_records")
     tagged = F.concat(F.lit("<think>t</think><answer>"), F.col("rejected.content"), F.lit("</answer>"))
-    prediction = F.when(F.col("pair_id") % 2 == 0, tagged).otherwise(F.col("rejected.content"))
+    thinking = F.concat(F.lit("<Think>still on it "), F.col("rejected.content"))  # never closed
+    prediction = F.when(F.col("pair_id") % 2 == 0, tagged).when(F.col("pair_id") % 4 == 1, thinking).otherwise(F.col("rejected.content"))
     return dpo.select("pair_id", reward.answer_reward(F.coalesce(prediction, F.lit("")), F.coalesce("chosen.content", F.lit(""))).alias("answer"), reward.score(F.coalesce(prediction, F.lit("")), F.col("chosen.content"), 0.9, 0.1).alias("score"))
 
 
@@ -106,9 +113,9 @@ def melt_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def first_file_wins(spark: SparkSession, folder: str) -> DataFrame:
     """For each metric step, the value of the first run (by name) that has one."""
-    log = table(spark, folder, "train_metrics").where("step IS NOT NULL AND loss IS NOT NULL AND NOT isnan(loss)")
+    log = table(spark, folder, "train_metrics").where("step IS NOT NULL AND loss IS NOT NULL")
     first = log.groupBy("step").agg(F.min(F.struct("run_id", "loss")).alias("f"))
-    return first.select("step", F.col("f.run_id").alias("run_id"), F.col("f.loss").alias("loss"))
+    return first.select("step", F.col("f.run_id").alias("run_id"), monitor.reading_state(F.col("f.loss")).alias("loss_state"), monitor.finite(F.col("f.loss")).alias("loss"))
 
 
 def json_drilldown(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,8 +150,7 @@ def pref_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Preference records parsed from JSON texts; broken ones drop out."""
     dpo = table(spark, folder, "dpo_records")
     text = F.to_json(F.struct(F.get("messages", F.lit(0))["content"].alias("question"), F.col("chosen.content").alias("chosen"), F.col("rejected.content").alias("rejected")))
-    torn = F.when(F.col("pair_id") % 97 == 0, F.substring(text, 1, 20)).otherwise(text)
-    out = pairs.parsed_preferences(dpo.select("pair_id", torn.alias("text")), "text")
+    out = pairs.parsed_preferences(dpo.select("pair_id", text.alias("text")), "text")
     return out.select("pair_id", F.size("messages").cast("long").alias("n_messages"), F.length("chosen.content").cast("long").alias("chosen_chars"), F.length("rejected.content").cast("long").alias("rejected_chars"))
 
 
@@ -179,7 +185,7 @@ def _reward_sql(p: str, g: str) -> str:
 QUERIES = {
     f.__name__: f
     for f in (
-        path_resolve, id_prefix_strip, media_keys, error_taxonomy, answer_norm, tag_extract, number_extract, reward_score, reward_golden, result_matrix, pivot_matrix,
+        path_resolve, id_prefix_strip, media_keys, error_taxonomy, fetch_taxonomy, answer_norm, tag_extract, number_extract, reward_score, reward_golden, result_matrix, pivot_matrix,
         disclosure_status, melt_scores, first_file_wins, json_drilldown, score_scrape, multiway_compare, answer_share, pref_pairs, best_worst, schema_unify,
     )
 }
@@ -190,12 +196,14 @@ SELECT rec_id, i, prefix, CASE prefix WHEN 'coco' THEN 'coco/train2017/' || spli
     "id_prefix_strip": "SELECT DISTINCT video_id, regexp_replace(video_id, '^v_', '') AS clip FROM video_meta",
     "media_keys": r"SELECT min(file_id) AS file_id, count(*) AS n FROM media_files WHERE n_bytes IS NOT NULL GROUP BY split_part(replace(path, '\', '/'), '/', -1), n_bytes HAVING count(*) > 1",
     "error_taxonomy": """SELECT CASE WHEN contains(s, 'unavailable') THEN 'unavailable' WHEN contains(s, 'private') THEN 'private' WHEN contains(s, 'removed') THEN 'removed' WHEN contains(s, 'blocked') THEN 'blocked' WHEN contains(s, 'age') THEN 'age_restricted' ELSE 'error' END AS kind, count(*) AS n
-FROM (SELECT 'message: ' || coalesce(lower(status), '') AS s FROM video_meta) GROUP BY 1""",
+FROM (SELECT coalesce(lower(status), '') AS s FROM video_meta) GROUP BY 1""",
+    "fetch_taxonomy": """SELECT CASE WHEN contains(s, 'requested format') THEN 'no_format' WHEN contains(s, 'private') THEN 'private' WHEN contains(s, 'unavailable') OR contains(s, 'removed') THEN 'unavailable' ELSE 'error' END AS kind, count(*) AS n
+FROM (SELECT lower(CASE WHEN duration IS NULL THEN 'Requested format is not available, ' || status ELSE 'video ' || status END) AS s FROM video_meta) GROUP BY 1""",
     "answer_norm": f"SELECT pair_id, md5({_FOLD.format('chosen.content')}) AS chosen, length({_FOLD.format('chosen.content')}) AS n FROM dpo_records",
     "tag_extract": "SELECT pair_id, md5(chosen.content) AS inner FROM dpo_records WHERE chosen.content IS NOT NULL AND rejected.content IS NOT NULL".replace("AS inner", 'AS "inner"'),
     "number_extract": f"SELECT pair_id, {_NUM.format('chosen.content')} AS chosen, {_NUM.format('rejected.content')} AS rejected FROM dpo_records",
-    "reward_score": f"""WITH d AS (SELECT pair_id, pair_id % 2 = 0 AND rejected.content IS NOT NULL AS tagged, coalesce(rejected.content, '') AS p, coalesce(chosen.content, '') AS g FROM dpo_records), r AS (SELECT pair_id, tagged, {_reward_sql('p', 'g')} AS answer FROM d)
-SELECT pair_id, answer, 0.9::DOUBLE * answer + 0.1::DOUBLE * CASE WHEN tagged THEN 1.0 ELSE 0.0 END AS score FROM r""",
+    "reward_score": f"""WITH d AS (SELECT pair_id, CASE WHEN rejected.content IS NULL THEN 0 WHEN pair_id % 2 = 0 THEN 1 WHEN pair_id % 4 = 1 THEN 0.5 ELSE 0 END::DOUBLE AS tagged, coalesce(CASE WHEN pair_id % 4 = 1 THEN '<think>still on it ' ELSE '' END || rejected.content, '') AS p, coalesce(chosen.content, '') AS g FROM dpo_records), r AS (SELECT pair_id, tagged, {_reward_sql('p', 'g')} AS answer FROM d)
+SELECT pair_id, answer, 0.9::DOUBLE * answer + 0.1::DOUBLE * tagged AS score FROM r""",
     "reward_golden": "SELECT pred, gold, reward FROM (VALUES ('145', '<answer> 145° </answer>', 1.0::DOUBLE), ('<think>x</think><answer>C</answer>', 'c', 1.0), ('The answer is B', 'B', 1.0), ('13', '3', 1.0), ('1/2', '0.5', 0.0), ('1,234.0', '1234', 1.0), ('3 .', '3', 1.0), ('', '3', 0.0)) AS t(pred, gold, reward)",
     "result_matrix": """WITH d AS (SELECT coalesce(lower(trim(source)), '?') AS model, coalesce(lang, '?') AS bench, n_chars FROM documents), s AS (SELECT model, bench, round(avg(n_chars), 6) AS score FROM d GROUP BY 1, 2),
 g AS (SELECT model, bench FROM (SELECT DISTINCT model FROM d), (SELECT DISTINCT bench FROM d))
@@ -203,7 +211,7 @@ SELECT g.model, g.bench, s.score, round(s.score - b.score, 3) AS delta FROM g LE
     "pivot_matrix": "SELECT doc_type, count(*) FILTER (lang = 'de') AS n_de, count(*) FILTER (lang = 'en') AS n_en, count(*) FILTER (lang = 'es') AS n_es, count(*) FILTER (lang = 'fr') AS n_fr FROM documents GROUP BY 1",
     "disclosure_status": "SELECT bench, count(*) AS n_items, count(*) FILTER (trim(text) <> '') AS n_prints, CASE WHEN count(*) = 0 THEN 'not_run' WHEN count(*) FILTER (trim(text) <> '') = 0 THEN 'not_effective' ELSE 'executed' END AS status FROM eval_items GROUP BY 1",
     "melt_scores": "SELECT metric, count(*) AS n, round(sum(value), 4) AS total FROM (SELECT 'p_size' AS metric, p_size::DOUBLE AS value FROM part UNION ALL SELECT 'p_retailprice', p_retailprice FROM part) GROUP BY 1",
-    "first_file_wins": "SELECT step, run_id, loss FROM (SELECT *, row_number() OVER (PARTITION BY step ORDER BY run_id, loss) AS r FROM train_metrics WHERE step IS NOT NULL AND loss IS NOT NULL AND NOT isnan(loss)) WHERE r = 1",
+    "first_file_wins": "SELECT step, run_id, CASE WHEN isnan(loss) THEN 'nan' WHEN isinf(loss) THEN 'inf' WHEN loss IS NOT NULL THEN 'ok' END AS loss_state, CASE WHEN isfinite(loss) THEN loss END AS loss FROM (SELECT *, row_number() OVER (PARTITION BY step ORDER BY run_id, loss) AS r FROM train_metrics WHERE step IS NOT NULL AND loss IS NOT NULL) WHERE r = 1",
     "json_drilldown": "SELECT event_type, count(k) AS n_k, round(avg(k) * 100, 6) AS mean_k, max(coalesce(k, -1)) AS max_k FROM (SELECT event_type, try_cast(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events) GROUP BY 1",
     "score_scrape": "SELECT event_id, round(value, 2) AS score FROM events",
     "multiway_compare": rf"""WITH d AS (SELECT md5(messages[1].content) AS i, pair_id, {_FOLD.format('chosen.content')} AS gold, {_FOLD.format('rejected.content')} AS said FROM dpo_records WHERE len(messages) > 0),
@@ -212,7 +220,7 @@ c AS (SELECT d.i, coalesce(b.s, 'nan') = coalesce(b.g, 'nan') AS r0, coalesce(d.
 SELECT count(*) AS n, count(*) FILTER (NOT r0 AND r2) AS improved, count(*) FILTER (r0 AND NOT r2) AS regressed, count(*) FILTER (NOT r0 AND r2) - count(*) FILTER (r0 AND NOT r2) AS net, count(*) FILTER (NOT r0 AND r1 AND r2) AS all_improved FROM c""",
     "answer_share": f"""WITH a AS (SELECT coalesce(source, '?') AS source, {_FOLD.format('x')} AS a FROM (SELECT source, unnest(list_transform(list_filter(messages, lambda m: m.role = 'assistant'), lambda m: m.content)) AS x FROM sft_records))
 SELECT source, count(*) AS n, round(avg(CASE WHEN a IN ('yes', 'ja', 'oui', 'sí') THEN 1.0 ELSE 0.0 END) * 100, 6) AS yes_share FROM a WHERE a IN ('yes', 'ja', 'oui', 'sí', 'no', 'nein', 'non') GROUP BY 1""",
-    "pref_pairs": r"""WITH d AS (SELECT pair_id, regexp_replace(chosen.content, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS c, regexp_replace(rejected.content, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS r, regexp_replace(messages[1].content, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS q FROM dpo_records WHERE pair_id % 97 <> 0)
+    "pref_pairs": r"""WITH d AS (SELECT pair_id, regexp_replace(chosen.content, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS c, regexp_replace(rejected.content, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS r, regexp_replace(messages[1].content, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS q FROM dpo_records)
 SELECT pair_id, 1::BIGINT AS n_messages, length(c) AS chosen_chars, length(r) AS rejected_chars FROM d WHERE c <> '' AND r <> '' AND q <> ''""",
     "best_worst": """WITH d AS (SELECT rec_id, CASE WHEN rec_id % 2 = 0 THEN 40 END AS bonus, list_transform(list_filter(messages, lambda m: m.role = 'assistant' AND m.content IS NOT NULL), lambda m: m.content) AS c FROM sft_records),
 e AS (SELECT rec_id, bonus, unnest(c) AS x, unnest(range(len(c))) AS i FROM d WHERE len(c) > 1), k AS (SELECT *, CASE WHEN bonus IS NULL THEN length(x) ELSE -abs(length(x) - bonus) END AS k FROM e)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -174,11 +175,16 @@ def write_tsv(df: DataFrame, path: str) -> None:
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
-    """``file, metric, value`` of score files with one header and one value row; cells that are no numbers are left out."""
+    """``file, metric, value`` of score files with one header and one value row.
+
+    Names are trimmed, unquoted and in lower case; quoted cells may hold
+    commas; cells that are no numbers are left out.
+    """
+    cell = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # commas outside quotes
     lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.split(F.trim("value"), r"\r?\n").alias("l")).where(F.size("l") > 1)
-    pairs = lines.select("file", F.explode(F.arrays_zip(F.split(F.get("l", F.lit(0)), ",").alias("metric"), F.split(F.get("l", F.lit(1)), ",").alias("value"))).alias("c"))
-    clean = lambda c: F.regexp_replace(F.trim(c), '^"|"$', "")
-    return pairs.select("file", clean("c.metric").alias("metric"), clean("c.value").try_cast("double").alias("value")).where("value IS NOT NULL")
+    pairs = lines.select("file", F.explode(F.arrays_zip(F.split(F.get("l", F.lit(0)), cell).alias("metric"), F.split(F.get("l", F.lit(1)), cell).alias("value"))).alias("c"))
+    clean = lambda c: F.trim(F.regexp_replace(F.trim(c), '^"|"$', ""))
+    return pairs.select("file", F.lower(clean("c.metric")).alias("metric"), clean("c.value").try_cast("double").alias("value")).where("value IS NOT NULL")
 
 
 def read_log_objects(spark: SparkSession, path: str, schema: str = schemas.TRAINER_LINE) -> DataFrame:
@@ -193,6 +199,12 @@ def parse_log_objects(lines: DataFrame, column: str, schema: str) -> DataFrame:
     return parsed.where("_row IS NOT NULL AND _row._corrupt IS NULL").select(*[c for c in lines.columns if c != column], "_row.*").drop("_corrupt")
 
 
+def matching(files: DataFrame, path: str, globs: Sequence[str]) -> DataFrame:
+    """Files whose whole path fits one of the globs; ``*`` and ``?`` stay within a folder."""
+    rule = "|".join("".join({"*": "[^/]*", "?": "[^/]"}.get(c, re.escape(c)) for c in g) for g in globs)
+    return files.where(F.col(path).rlike(f"^(?:{rule})$"))
+
+
 def tail_lines(df: DataFrame, text: str, chars: int | None = None) -> DataFrame:
     """Lines (``line``, from 0) of whole texts or of their last ``chars`` characters, with carriage returns as line ends."""
     end = F.col(text) if chars is None else F.when(F.length(text) > chars, F.substring(F.col(text), -chars, chars)).otherwise(F.col(text))

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.session import exists
@@ -54,6 +55,33 @@ def suppressed(stream: DataFrame, key: str, seconds: str, least: float = 1800.0)
     return stream.where(F.col(key).isNotNull()).select(key, seconds).groupBy(key).applyInPandasWithState(walk, f"{key} {kind}, {seconds} double", "last double", "append", GroupStateTimeout.NoTimeout)
 
 
+def moving_average(stream: DataFrame, key: str, order: list[str], value: str, width: int = 10) -> DataFrame:
+    """``key, order..., average`` over each row and the ``width`` before it of its key, once there are so many.
+
+    A window by count has no time bound, so the state of a key is its last
+    ``width`` values. Rows of a micro-batch are taken in ``order``; rows
+    without key are left out.
+    """
+    columns = [key, *order]
+    ddl = ", ".join(f"{c} {stream.schema[c].dataType.simpleString()}" for c in columns)
+
+    def walk(own: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches)).sort_values(order, kind="stable").reset_index(drop=True)
+        before = list(state.get[0]) if state.exists else []
+        values = pd.Series([*before, *rows[value].astype(float)])
+        rows["average"] = values.rolling(width + 1).apply(lambda w: w.sum() / (width + 1), raw=True).to_numpy()[len(before) :]
+        state.update((values.tail(width).tolist(),))
+        yield rows.loc[rows["average"].notna(), [*columns, "average"]]
+
+    return stream.where(F.col(key).isNotNull()).select(*columns, value).groupBy(key).applyInPandasWithState(walk, f"{ddl}, average double", "last array<double>", "append", GroupStateTimeout.NoTimeout)
+
+
+def run_every(stream: DataFrame, sink: str, checkpoint: str, seconds: float = 60.0) -> StreamingQuery:
+    """A query that takes what has come every so many seconds, 5 at least, whatever a batch takes."""
+    every = f"{max(seconds, 5.0):g} seconds"
+    return stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(processingTime=every).format("parquet").option("path", sink).start()
+
+
 def run_once(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append") -> None:
     """Processes what is there and ends: files for append mode, overwriting batches otherwise."""
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)

@@ -21,8 +21,10 @@ def oracle():
 
 def plain(rows):
     def cell(v):
-        if v is None or (isinstance(v, float) and math.isnan(v)):
+        if v is None:
             return "null"
+        if isinstance(v, float) and math.isnan(v):
+            return "nan"
         if isinstance(v, bool):
             return str(v)
         if isinstance(v, (int, float)):
