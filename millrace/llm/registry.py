@@ -94,6 +94,16 @@ def p5_fill(spark: SparkSession, folder: str) -> DataFrame:
     return each.agg(F.count(F.lit(1)).alias("n_sequences"), F.sum("used").alias("n_chars"), least, F.avg(F.col("used") / SEQUENCE_CHARS).alias("mean_fill"), (F.stddev("cost") / F.avg("cost")).alias("cost_spread"))
 
 
+def p5_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    """What any packing must keep: records, characters and pieces, and no sequence too full, with gaps or without number."""
+    packed = _packed(spark, folder)
+    each = packed.groupBy("sequence").agg(F.sum("length").alias("used"), F.max(F.col("offset") + F.col("length")).alias("end"))
+    bad = each.agg(F.count_if(F.col("used") > SEQUENCE_CHARS).alias("n_overfull"), F.count_if(F.col("used") != F.col("end")).alias("n_gaps"), (F.max("sequence") + 1 - F.count(F.lit(1))).alias("n_unnumbered"))
+    by_record = packed.groupBy("id").agg(F.sum("length").alias("n"), F.count(F.lit(1)).alias("k"))
+    kept = by_record.agg(F.count(F.lit(1)).alias("n_records"), F.sum("n").alias("n_chars"), F.sum("k").alias("n_pieces"), F.count_if(F.col("k") > 1).alias("n_divided"))
+    return kept.join(bad)  # one row each
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that share a run of at least 12 words with an item, and the items."""
     documents, items = table(spark, folder, "documents"), table(spark, folder, "eval_items")
@@ -123,6 +133,16 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return _mix(spark, folder).shares
 
 
+def p7_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    """What any mix must keep, as numbers of breaches: repeats, sources, documents twice, shares more than 0.02 off."""
+    mix = _mix(spark, folder)
+    shares = mix.shares.select("source", "max_repeats", F.abs(F.col("share") - F.col("share_of_available")).alias("off"))
+    seen = mix.chosen.join(shares.select("source", "max_repeats"), "source", "left")
+    used = seen.groupBy("id").agg(F.count(F.lit(1)).alias("k"), F.max(F.col("repeats") - F.col("max_repeats")).alias("over"), F.count("max_repeats").alias("known"))
+    a = used.agg(F.count_if(F.col("over") > 0).alias("n_over_repeats"), F.count_if(F.col("known") == 0).alias("n_unknown"), F.count_if(F.col("k") > 1).alias("n_twice"))
+    return a.join(shares.agg(F.count(F.lit(1)).alias("n_targets"), F.count_if(F.col("off") > 0.02).alias("n_share_off")))  # one row each
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with template residue or error-page text, and their kind."""
     return residue(table(spark, folder, "documents").select("doc_id", "text"), materialise)
@@ -142,12 +162,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_summary": p4_summary,
     "p5_sequences": p5_sequences,
     "p5_fill": p5_fill,
+    "p5_invariants": p5_invariants,
     "p6_found": p6_found,
     "p6_items": p6_items,
     "p7_mix": p7_mix,
     "p7_shares": p7_shares,
+    "p7_invariants": p7_invariants,
     "p8_found": p8_found,
     "p8_clean": p8_clean,
     "p3_classes": p3_classes,
 }
-ORACLES: dict[str, str] = {}
+
+_RUNS = "SELECT {0}, w[i] {1} AS run FROM (SELECT *, unnest(range(1, len(w) - {2})) AS i FROM (SELECT {0}, regexp_extract_all(lower({3}), '[\\p{{L}}\\p{{N}}]+') AS w FROM {4}))"
+
+
+def _runs(key: str, n: int, text: str, source: str) -> str:
+    """SQL for the distinct runs of ``n`` words of each text, by key."""
+    return "SELECT DISTINCT * FROM (" + _RUNS.format(key, "".join(f" || ' ' || w[i + {k}]" for k in range(1, n)), n - 2, text, source) + ")"
+
+
+_TEXT = "(SELECT rec_id, array_to_string(list_transform(messages, lambda m: coalesce(m.content, '')), chr(10)) AS text FROM sft_records)"
+ORACLES: dict[str, str] = {
+    "p3_found": f"""WITH r AS MATERIALIZED ({_runs("rec_id", 3, "text", _TEXT)}), n AS MATERIALIZED (SELECT rec_id, count(*) AS n FROM r GROUP BY 1),
+c AS (SELECT a.rec_id AS rec_a, b.rec_id AS rec_b, count(*) AS k FROM r a JOIN r b ON a.run = b.run AND a.rec_id < b.rec_id GROUP BY 1, 2)
+SELECT rec_a, rec_b FROM c JOIN n x ON x.rec_id = rec_a JOIN n y ON y.rec_id = rec_b WHERE 10 * k >= 6 * (x.n + y.n - k)""",
+    "p5_invariants": f"""WITH r AS (SELECT rec_id, coalesce(list_sum(list_transform(messages, lambda m: coalesce(length(m.content), 0))), 0) AS n FROM sft_records)
+SELECT count(*) AS n_records, sum(n)::BIGINT AS n_chars, sum(greatest(1, ceil(n / {SEQUENCE_CHARS})))::BIGINT AS n_pieces, count(*) FILTER (n > {SEQUENCE_CHARS}) AS n_divided, 0::BIGINT AS n_overfull, 0::BIGINT AS n_gaps, 0::BIGINT AS n_unnumbered FROM r""",
+    "p6_found": f"""WITH d AS MATERIALIZED ({_runs("doc_id", 12, "text", "documents")}), i AS MATERIALIZED ({_runs("item_id", 12, "text", "eval_items")})
+SELECT DISTINCT doc_id, item_id FROM d JOIN i ON d.run = i.run""",
+    "p7_invariants": "SELECT count(DISTINCT lower(trim(source))) AS n_targets, 0::BIGINT AS n_over_repeats, 0::BIGINT AS n_unknown, 0::BIGINT AS n_twice, 0::BIGINT AS n_share_off FROM mix_targets",
+}

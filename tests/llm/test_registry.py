@@ -1,5 +1,8 @@
 """Every query of the subpackage runs on the smallest tables with its columns."""
 
+import os
+
+import duckdb
 import pytest
 
 from millrace.llm import registry
@@ -15,6 +18,8 @@ COLUMNS = {
     "p4_summary": ["src_table", "field", "defect", "n_answers", "n_by_neighbour", "n_by_limit"],
     "p5_sequences": ["rec_id", "piece", "length", "sequence", "offset"],
     "p5_fill": ["n_sequences", "n_chars", "least_sequences", "mean_fill", "cost_spread"],
+    "p5_invariants": ["n_records", "n_chars", "n_pieces", "n_divided", "n_overfull", "n_gaps", "n_unnumbered"],
+    "p7_invariants": ["n_over_repeats", "n_unknown", "n_twice", "n_targets", "n_share_off"],
     "p6_found": ["doc_id", "item_id"],
     "p6_items": ["item_id", "n_verbatim", "n_paraphrased"],
     "p7_mix": ["doc_id", "source", "tokens", "repeats", "finish"],
@@ -35,3 +40,9 @@ def test_query_runs(spark, name):
     rows = out.collect()
     assert len(rows) == len(set(rows))
     assert rows
+    if name in registry.ORACLES:
+        con = duckdb.connect()
+        for file in os.listdir(DATA):
+            con.execute(f"CREATE VIEW {file.split('.')[0]} AS SELECT * FROM '{DATA}/{file}'")
+        want = con.execute(f"SELECT {', '.join(out.columns)} FROM ({registry.ORACLES[name]})").fetchall()
+        assert sorted(map(tuple, rows)) == sorted(want)
