@@ -196,7 +196,7 @@ WITH p AS (SELECT pair_id, coalesce(source, '?') AS source, {_N.format("coalesce
 f AS (SELECT source, h, min(pair_id) AS pair_id FROM p GROUP BY ALL)
 SELECT source, pair_id FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY source, pair_id) AS r FROM f) WHERE r = 1""",
     "dedup_keep_last": """
-SELECT run_id, step, ts, written_at, CASE WHEN isnan(loss) THEN 'nan' WHEN isinf(loss) THEN 'inf' WHEN loss IS NOT NULL THEN 'ok' END AS loss_state, CASE WHEN isfinite(loss) THEN loss END AS loss FROM (
+SELECT run_id, step, ts, written_at, CASE WHEN isfinite(loss) THEN 'ok' WHEN loss::VARCHAR LIKE '%inf' THEN 'inf' WHEN loss IS NOT NULL THEN 'nan' END AS loss_state, CASE WHEN isfinite(loss) THEN loss END AS loss FROM (
   SELECT *, row_number() OVER (PARTITION BY run_id, step ORDER BY ts DESC, written_at DESC, loss DESC NULLS LAST) AS r FROM train_metrics WHERE step IS NOT NULL) WHERE r = 1""",
     "distinct_in_order": r"SELECT ltrim(replace(raw, '\', '/'), './') AS path, min(rec_id) AS first_rec_id FROM (SELECT rec_id, unnest(media) AS raw FROM sft_records) WHERE trim(raw) <> '' GROUP BY 1",
     "decontam_exact": f"SELECT doc_id FROM documents WHERE {_NT} IN (SELECT {_NT} FROM eval_items)",

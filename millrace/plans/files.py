@@ -136,9 +136,9 @@ ALERTS = _HEALTH["alert_suppression"]
 QUERIES = {f.__name__: f for f in (jsonl_roundtrip, csv_roundtrip, parquet_roundtrip, torn_log_parse, process_log, log_errors, loss_lines, nested_results, stream_latest, stream_alerts, fingerprint_groups, source_risks, run_markers)}
 ORACLES = {
     "jsonl_roundtrip": "SELECT pair_id, source, length(chosen.content) AS n, md5(rejected.content) AS rejected, coalesce(len(images), -1) AS n_images, ingested_at FROM dpo_records",
-    "csv_roundtrip": "SELECT run_id, ts, step, CASE WHEN isnan(loss) THEN 'nan' WHEN isinf(loss) THEN 'inf' WHEN loss IS NOT NULL THEN 'ok' END AS loss_state, CASE WHEN isfinite(loss) THEN loss END AS loss, CASE WHEN isnan(grad_norm) THEN 'nan' WHEN isinf(grad_norm) THEN 'inf' WHEN grad_norm IS NOT NULL THEN 'ok' END AS grad_norm_state, CASE WHEN isfinite(grad_norm) THEN grad_norm END AS grad_norm, total_steps FROM train_metrics",
+    "csv_roundtrip": "SELECT run_id, ts, step, CASE WHEN isfinite(loss) THEN 'ok' WHEN loss::VARCHAR LIKE '%inf' THEN 'inf' WHEN loss IS NOT NULL THEN 'nan' END AS loss_state, CASE WHEN isfinite(loss) THEN loss END AS loss, CASE WHEN isfinite(grad_norm) THEN 'ok' WHEN grad_norm::VARCHAR LIKE '%inf' THEN 'inf' WHEN grad_norm IS NOT NULL THEN 'nan' END AS grad_norm_state, CASE WHEN isfinite(grad_norm) THEN grad_norm END AS grad_norm, total_steps FROM train_metrics",
     "parquet_roundtrip": "SELECT * FROM part",
-    "torn_log_parse": "SELECT run_id, step, ts, CASE WHEN isnan(loss) THEN 'nan' WHEN isinf(loss) THEN 'inf' WHEN loss IS NOT NULL THEN 'ok' END AS loss_state, CASE WHEN isfinite(loss) THEN loss END AS loss FROM (SELECT *, row_number() OVER (PARTITION BY run_id, step ORDER BY ts DESC, written_at DESC, loss DESC NULLS LAST) AS r FROM train_metrics WHERE step IS NOT NULL) WHERE r = 1",
+    "torn_log_parse": "SELECT run_id, step, ts, CASE WHEN isfinite(loss) THEN 'ok' WHEN loss::VARCHAR LIKE '%inf' THEN 'inf' WHEN loss IS NOT NULL THEN 'nan' END AS loss_state, CASE WHEN isfinite(loss) THEN loss END AS loss FROM (SELECT *, row_number() OVER (PARTITION BY run_id, step ORDER BY ts DESC, written_at DESC, loss DESC NULLS LAST) AS r FROM train_metrics WHERE step IS NOT NULL) WHERE r = 1",
     "process_log": "WITH l AS (SELECT DISTINCT * FROM train_metrics) SELECT 'python' AS name, count(*) AS n, sum(round(anon_mb)) AS mb, date_trunc('second', max(iso)) AS last_at FROM l WHERE anon_mb IS NOT NULL UNION ALL SELECT 'pt:worker', count(*), sum(round(file_mb)), date_trunc('second', max(iso)) FROM l WHERE file_mb IS NOT NULL",
     "log_errors": r"""WITH t AS (SELECT doc_id, string_split(replace(text, chr(13), chr(10)), chr(10)) AS l FROM documents WHERE text IS NOT NULL), e AS (SELECT doc_id, unnest(l) AS v, unnest(range(len(l))) AS i FROM t)
 SELECT doc_id, substr(arg_min(v, i), 1, 200) AS said FROM e WHERE regexp_matches(v, '(?i)error|forbidden|unavailable|skipped one clip') AND NOT contains(v, 'skipped one clip |') GROUP BY 1""",

@@ -105,7 +105,7 @@ ORACLES = {
     "moving_avg_11": f"WITH {_LOSS} SELECT run_id, ts, step, round(CASE WHEN i >= 10 THEN avg(loss) OVER (PARTITION BY run_id ORDER BY i ROWS BETWEEN 10 PRECEDING AND CURRENT ROW) END, 6) AS average FROM f",
     "spike_upper_median": f"""WITH {_LOSS}, m AS (SELECT *, list_sort(list(loss) OVER (PARTITION BY run_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)) AS w FROM f), k AS (SELECT *, w[len(w) // 2 + 1] AS median FROM m)
 SELECT run_id, ts, step, loss, 'ok' AS loss_state, round(median, 6) AS median, 'WARN' AS level FROM k WHERE median > 0 AND loss > 3 * median
-UNION ALL SELECT run_id, ts, step, NULL, CASE WHEN isnan(loss) THEN 'nan' ELSE 'inf' END, NULL, 'CRIT' FROM s WHERE NOT isfinite(loss)""",
+UNION ALL SELECT run_id, ts, step, NULL, CASE WHEN loss::VARCHAR LIKE '%inf' THEN 'inf' ELSE 'nan' END, NULL, 'CRIT' FROM s WHERE NOT isfinite(loss)""",
     "zero_streak": f"""WITH {_L}, s AS (SELECT * FROM l WHERE grad_norm IS NOT NULL AND step IS NOT NULL AND step <> 0), f AS (SELECT *, row_number() OVER (PARTITION BY run_id {_O}) AS i FROM s WHERE isfinite(grad_norm)),
 g AS (SELECT *, max(CASE WHEN grad_norm <> 0 THEN i END) OVER (PARTITION BY run_id ORDER BY i) AS b FROM f), k AS (SELECT *, least(40, i - coalesce(b, 0)) AS streak FROM g)
 SELECT run_id, ts, step, grad_norm, streak, 'WARN' AS level FROM k WHERE streak >= 8 OR grad_norm > 100 UNION ALL SELECT run_id, ts, step, grad_norm, 0, 'CRIT' FROM s WHERE NOT isfinite(grad_norm)""",

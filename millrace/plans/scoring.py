@@ -211,7 +211,7 @@ SELECT g.model, g.bench, s.score, round(s.score - b.score, 3) AS delta FROM g LE
     "pivot_matrix": "SELECT doc_type, count(*) FILTER (lang = 'de') AS n_de, count(*) FILTER (lang = 'en') AS n_en, count(*) FILTER (lang = 'es') AS n_es, count(*) FILTER (lang = 'fr') AS n_fr FROM documents GROUP BY 1",
     "disclosure_status": "SELECT bench, count(*) AS n_items, count(*) FILTER (trim(text) <> '') AS n_prints, CASE WHEN count(*) = 0 THEN 'not_run' WHEN count(*) FILTER (trim(text) <> '') = 0 THEN 'not_effective' ELSE 'executed' END AS status FROM eval_items GROUP BY 1",
     "melt_scores": "SELECT metric, count(*) AS n, round(sum(value), 4) AS total FROM (SELECT 'p_size' AS metric, p_size::DOUBLE AS value FROM part UNION ALL SELECT 'p_retailprice', p_retailprice FROM part) GROUP BY 1",
-    "first_file_wins": "SELECT step, run_id, CASE WHEN isnan(loss) THEN 'nan' WHEN isinf(loss) THEN 'inf' WHEN loss IS NOT NULL THEN 'ok' END AS loss_state, CASE WHEN isfinite(loss) THEN loss END AS loss FROM (SELECT *, row_number() OVER (PARTITION BY step ORDER BY run_id, loss) AS r FROM train_metrics WHERE step IS NOT NULL AND loss IS NOT NULL) WHERE r = 1",
+    "first_file_wins": "SELECT step, run_id, CASE WHEN isfinite(loss) THEN 'ok' WHEN loss::VARCHAR LIKE '%inf' THEN 'inf' WHEN loss IS NOT NULL THEN 'nan' END AS loss_state, CASE WHEN isfinite(loss) THEN loss END AS loss FROM (SELECT *, row_number() OVER (PARTITION BY step ORDER BY run_id, loss) AS r FROM train_metrics WHERE step IS NOT NULL AND loss IS NOT NULL) WHERE r = 1",
     "json_drilldown": "SELECT event_type, count(k) AS n_k, round(avg(k) * 100, 6) AS mean_k, max(coalesce(k, -1)) AS max_k FROM (SELECT event_type, try_cast(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events) GROUP BY 1",
     "score_scrape": "SELECT event_id, round(value, 2) AS score FROM events",
     "multiway_compare": rf"""WITH d AS (SELECT md5(messages[1].content) AS i, pair_id, {_FOLD.format('chosen.content')} AS gold, {_FOLD.format('rejected.content')} AS said FROM dpo_records WHERE len(messages) > 0),
