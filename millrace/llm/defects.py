@@ -5,7 +5,8 @@ their start: a response whose last, unfinished sentence is the start of a
 longer one, or shares much of it, is a shortened version. Lengths at which
 unfinished responses pile up are taken as length limits. What neither shows
 (and objects that do not close) is decided by how the response ends. Rules for
-copies, refusals and languages go before, as an answer has one defect at most.
+copies, refusals and languages go before, as an answer has one defect at most;
+refusals in words that no rule has are found by a model that the others teach.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm.kernels import WordSlice, signed, slices
 from millrace.llm.outward import fields_of
+from millrace.llm.residue import FEATURE_BITS, Model, features
 from millrace.operators.skew import salted_join
-from millrace.session import scan_slices
+from millrace.session import release, scan_slices
 
 LANGUAGES = ("en", "de", "fr", "es")
 
@@ -156,6 +159,16 @@ def is_refusal(text: str) -> bool:
     return refused
 
 
+#: Least log odds and number of words at which an answer in a wording that no
+#: pattern has is taken as a refusal.
+REFUSAL_ODDS, REFUSAL_LEAST = 5.0, 3
+#: Features in a smaller share of answers that no known refusal has say nothing:
+#: they may be the words of a refusal that is not known.
+REFUSAL_RARE = 0.002
+# Marks of rows that carry counts of features: of all answers, and of those that patterns show to be refusals.
+_WHOLE, _TAUGHT = "#whole", "#taught"
+
+
 def is_copy(question: str, answer: str) -> bool:
     """The question again: whole, or from its start to a sentence or line end.
 
@@ -304,6 +317,7 @@ def _classifier(model_cast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: LanguageModel = model_cast.value
         hints = WordSlice([" ".join(REFUSAL_HINTS)]).hash
+        counts = np.zeros((2, (1 << FEATURE_BITS) + 1), dtype=np.int64)
         for batch in batches:
             q = [_TAG.sub(" ", t) if t else "" for t in batch.column(4).to_pylist()]
             a = [_TAG.sub(" ", t) if t else "" for t in batch.column(5).to_pylist()]
@@ -315,6 +329,8 @@ def _classifier(model_cast):
                 score, known = model.score(words)
                 shared = _shared(words, n)
                 row = words.rows()[words.first[n] :] - n
+                feature, of = features(words.hash[words.first[n] :], words.first[n:] - words.first[n])
+                refused = np.zeros(n, dtype=bool)
                 hinted = np.bincount(row[np.isin(words.hash[words.first[n] :], hints)], minlength=n)
                 for i in range(n):
                     text = a[lo + i]
@@ -325,7 +341,7 @@ def _classifier(model_cast):
                     elif nq > 3 and shared[i] >= max(4, na - 10, 0.6 * min(na, nq)) and is_copy(q[lo + i], text):
                         found = "copy"
                     elif na > 1 and hinted[i] and is_refusal(text):
-                        found = "refusal"
+                        found, refused[i] = "refusal", True
                     elif _foreign(score[i], known[i], score[n + i], known[n + i], q[lo + i]):
                         found = "other_language"
                     else:
@@ -337,9 +353,41 @@ def _classifier(model_cast):
                         pick.append(lo + i)
                         defect.append(found)
                         key.append(own)
+                for k, some in enumerate((np.ones(n, dtype=bool), refused)):
+                    counts[k, :-1] += np.bincount(feature[some[of]], minlength=1 << FEATURE_BITS)
+                    counts[k, -1] += some.sum()
             if pick:
                 take = pa.array(pick, pa.int64())
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in range(4)), pa.array(defect, pa.string()), pa.array(key, pa.string()), pa.array([len(a[i]) for i in pick], pa.int32())], names=["src_table", "row_id", "field", "turn", "defect", "key", "chars"])
+        for k, mark in enumerate((_WHOLE, _TAUGHT)):
+            at = np.flatnonzero(counts[k])
+            none = pa.nulls(len(at), pa.string())
+            yield pa.RecordBatch.from_arrays([none, pa.array(counts[k, at]), none, pa.nulls(len(at), pa.int32()), pa.array([mark] * len(at), pa.string()), none, pa.array(at, pa.int32())], names=["src_table", "row_id", "field", "turn", "defect", "key", "chars"])
+
+    return run
+
+
+def refusal_model(whole: np.ndarray, taught: np.ndarray) -> Model:
+    """Naive Bayes of refusals against all other answers, from counts of features (answers last)."""
+    known = taught[:-1] > 0
+    model = Model(np.stack([whole - taught, taught], axis=1)[:-1].astype(float), np.array([whole[-1] - taught[-1], taught[-1]], dtype=float), known)
+    model.odds[~known & (whole[:-1] < REFUSAL_RARE * whole[-1])] = 0
+    return model
+
+
+def _refusals(sent):
+    """Answers that the model takes as refusals (all columns but the texts)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = sent.value
+        for batch in batches:
+            texts = [_TAG.sub(" ", t) if t else "" for t in batch.column(5).to_pylist()]
+            for lo, hi in slices(texts):
+                words = WordSlice(texts[lo:hi])
+                odds = model.score(*features(words.hash, words.first), words.n)[:, 0]
+                at = pa.array(lo + np.flatnonzero((odds >= REFUSAL_ODDS) & (np.diff(words.first) >= REFUSAL_LEAST)), pa.int64())
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in range(4)], names=["src_table", "row_id", "field", "turn"])
 
     return run
 
@@ -494,7 +542,9 @@ def broken_pairs(pairs: DataFrame, materialise, sample_rows: int = 20_000) -> Da
     ``pairs``: ``src_table, row_id, field, turn, question, answer``; null texts
     count as empty. Returns the first four columns and ``defect``: ``empty``
     (neither letter nor digit), ``copy``, ``refusal``, ``other_language`` or
-    ``truncated``, one at most, tested in this order.
+    ``truncated``, one at most, tested in this order. Refusals that patterns
+    show teach a naive Bayes model of their wording; answers without any other
+    defect that it takes as refusals are added.
 
     Defined cases: an empty question makes no copy and no language defect;
     equal rows give equal results; an empty table gives an empty result;
@@ -516,7 +566,7 @@ def broken_pairs(pairs: DataFrame, materialise, sample_rows: int = 20_000) -> Da
     model = fit_languages(own.select(F.col("row_id").alias("key"), F.concat_ws("\n", "question", "answer").alias("text")), sample_rows)
     flagged = materialise(own.mapInArrow(_classifier(spark.sparkContext.broadcast(model)), _FLAG_DDL), "pair-flags")
     names = ["src_table", "row_id", "field", "turn"]
-    sure = flagged.where("defect NOT IN ('cut', 'open')").select(*names, "defect", F.lit(None).cast("string").alias("evidence"))
+    sure = flagged.where(f"defect NOT IN ('cut', 'open', '{_WHOLE}', '{_TAUGHT}')").select(*names, "defect", F.lit(None).cast("string").alias("evidence"))
     maybe = flagged.where("defect IN ('cut', 'open')").withColumn("text", F.when(F.col("defect") == "open", F.concat(F.lit(_OPENING), "key")).otherwise(F.col("key"))).drop("key")
 
     pieces = maybe.where("text IS NOT NULL").select("text", F.lit(True).alias("ask"))
@@ -530,7 +580,19 @@ def broken_pairs(pairs: DataFrame, materialise, sample_rows: int = 20_000) -> Da
     shown = salted_join(maybe, short.withColumn("_near", F.lit(True)), ["text"], "left", spread_by="row_id").join(limits.withColumn("_limit", F.lit(True)), "chars", "left")
     evidence = F.when(F.col("_near"), F.lit("neighbour")).when(F.col("_limit"), F.lit("limit")).when(F.col("defect") == "cut", F.lit("end"))
     cut = shown.withColumn("evidence", evidence).where("evidence IS NOT NULL").select(*names, F.lit("truncated").alias("defect"), "evidence")
-    return sure.unionByName(cut)
+    counted = flagged.where(f"defect IN ('{_WHOLE}', '{_TAUGHT}')").groupBy("defect", "chars").agg(F.sum("row_id").alias("n")).toPandas()  # one row a feature
+    counts = {m: np.zeros((1 << FEATURE_BITS) + 1, dtype=np.int64) for m in (_WHOLE, _TAUGHT)}
+    for mark, rows in counted.groupby("defect"):
+        counts[mark][rows["chars"].to_numpy()] = rows["n"].to_numpy()
+    found = materialise(sure.unionByName(cut), "pair-defects")
+    release(flagged, near)
+    if not counts[_TAUGHT][-1]:
+        return found
+    sent = spark.sparkContext.broadcast(refusal_model(counts[_WHOLE], counts[_TAUGHT]))
+    learnt = own.mapInArrow(_refusals(sent), "src_table string, row_id long, field string, turn int").alias("l")
+    other = found.select(*[F.col(c).alias(f"_{c}") for c in names])
+    free = learnt.join(other, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names]), "left_anti")
+    return found.unionByName(free.select(*names, F.lit("refusal").alias("defect"), F.lit(None).cast("string").alias("evidence")))
 
 
 def _across(near: DataFrame) -> DataFrame:

@@ -70,6 +70,29 @@ def test_broken_pairs(spark):
     assert defects.broken_pairs(df.limit(0), materialise).count() == 0
 
 
+def test_refusals_in_unseen_wordings():
+    """The model is taught without a wording and must find it: nine of ten, and no other answer."""
+    known = [
+        "I'm sorry, but I can't help with this image.", "I cannot answer this question.", "I'd rather not describe this picture.", "I am unable to comment on this request.", "I won't discuss that question, sorry.", "Sorry, I can't say anything about this picture.",
+        "I must decline to answer this request.", "I am not allowed to describe this image.", "I don't want to comment on that image.", "I'm not able to help with that request.",
+    ]
+    unseen = ["I'd rather skip this request.", "I must respectfully pass on this question.", "I won't be answering that question.", "Sorry, but I can't go there.", "I'm afraid this is not for me to describe.", "I am sorry, this request is not one I can take."]
+    rng = random.Random(2)
+    thing = lambda: f"{rng.choice(['red', 'old', 'tiny'])} {rng.choice(['kite', 'lamp', 'tram', 'vase'])}"
+    clean = [f"The {thing()} stands near the {thing()} and hides a {thing()}." for _ in range(400)] + [f"I count {i} marks on the {thing()}." for i in range(200)]
+    taught = np.zeros((1 << defects.FEATURE_BITS) + 1, dtype=np.int64)
+    whole = taught.copy()
+    for texts, into in ((known, (taught, whole)), (clean + unseen, (whole,))):
+        cut = WordSlice(texts)
+        for x in into:
+            x[:-1] += np.bincount(defects.features(cut.hash, cut.first)[0], minlength=1 << defects.FEATURE_BITS)
+            x[-1] += len(texts)
+    model = defects.refusal_model(whole, taught)
+    score = lambda texts: model.score(*defects.features(WordSlice(texts).hash, WordSlice(texts).first), len(texts))[:, 0]
+    assert (score(unseen) >= defects.REFUSAL_ODDS).mean() >= 0.8
+    assert not (score(clean) >= defects.REFUSAL_ODDS).any()
+
+
 def words(s):
     return [w for w in "".join(c if c.isalnum() else " " for c in (s or "").lower()).split()]
 
