@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -127,6 +128,14 @@ def endpoint_slope(log: DataFrame, value: str) -> DataFrame:
     return ends.select(*KEYS, "n", F.when(F.col("n") > 1, (F.col(f"b.{value}") - F.col(f"a.{value}")) / (F.col("n") - 1)).alias("slope"))
 
 
+def _beyond(times: np.ndarray, written: float, least: float, start: int) -> int:
+    """The first place from ``start`` on whose time lies more than ``least`` after ``written``."""
+    i = max(start, int(np.searchsorted(times, written + least, "right")) - 2)  # sums may round either way
+    while i < len(times) and not times[i] - written > least:
+        i += 1
+    return i
+
+
 def suppressed_alerts(alerts: DataFrame, key: str, seconds: str, least: float = 1800.0) -> DataFrame:
     """Alerts that are written: a message again only if more than ``least`` seconds passed since it last was.
 
@@ -157,12 +166,17 @@ def suppressed_alerts(alerts: DataFrame, key: str, seconds: str, least: float =
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, written = None, 0.0
         for batch in batches:
-            keep = []
-            for k, p, t in zip(batch[key], batch["_piece"], batch[seconds]):
-                new = (k, p) != at or t - written > least
-                if new:
-                    at, written = (k, p), t
-                keep.append(new)
+            keep = np.zeros(len(batch), dtype=bool)
+            times = batch[seconds].to_numpy(dtype=float)
+            edges = np.flatnonzero((batch[key].ne(batch[key].shift()) | batch["_piece"].ne(batch["_piece"].shift())).to_numpy())
+            for a, b in zip(edges, [*edges[1:], len(batch)]):
+                own = (batch[key].iat[a], batch["_piece"].iat[a])
+                part, i = times[a:b], 0
+                if own == at:  # times ascend, so the next row to write is found by bisection
+                    i = _beyond(part, written, least, 0)
+                while i < len(part):
+                    keep[a + i], at, written = True, own, part[i]
+                    i = _beyond(part, written, least, i + 1)
             yield batch[keep].drop(columns="_piece")
 
     return ordered.mapInPandas(walk, alerts.schema)

@@ -16,8 +16,9 @@ from millrace.operators.skew import heavy_keys
 
 #: Keys per bucket of a family: a window partition never spans more integers.
 BUCKET = 4096
-#: Tasks over which the references of one heavy bucket are spread.
-SALTS = 16
+#: References of one bucket that a task takes, and the least share of all
+#: references from which a bucket is spread (so at most 2,000 are, and broadcast).
+SALT_ROWS, SALT_SHARE = 200_000, 0.0005
 
 _LAST_DIGITS = r"^(.*?)([0-9]{1,15})([^0-9]*)$"
 
@@ -64,17 +65,19 @@ def orphan_references(references: DataFrame, parents: DataFrame) -> DataFrame:
 
     Cost: one shuffle of references and one of parents, both on (family,
     bucket, salt); the two windows share that partitioning. Buckets bound a
-    window partition; heavy buckets (at most 200, by share) are salted.
+    window partition; heavy buckets (at most 2,000, by share) are
+    spread over as many tasks as they have ``SALT_ROWS`` references.
     """
     ref = references.select("src_table", "row_id", "field", "path", "at").where(F.col("path").isNotNull()).distinct()
     ref = integer_key(ref, "path").withColumn("_bucket", F.floor(F.col("_number") / BUCKET))
-    heavy = F.broadcast(heavy_keys(ref, ["_family", "_bucket"]).select("_family", "_bucket", F.lit(True).alias("_hot")))
-    ref = ref.join(heavy, ["_family", "_bucket"], "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("src_table", "row_id", "field"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))).drop("_hot")
+    heavy = heavy_keys(ref, ["_family", "_bucket"], SALT_SHARE).where(F.col("_n") > SALT_ROWS)
+    heavy = F.broadcast(heavy.select("_family", "_bucket", F.ceil(F.col("_n") / SALT_ROWS).cast("int").alias("_hot")))
+    ref = ref.join(heavy, ["_family", "_bucket"], "left").withColumn("_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64("src_table", "row_id", "field"), F.col("_hot")).cast("int")).otherwise(F.lit(0))).drop("_hot")
 
     own = parents.select("path", "added_at", "removed_at").where(F.col("path").isNotNull())
     own = integer_key(_undominated(own), "path").withColumn("_bucket", F.floor(F.col("_number") / BUCKET))
     own = own.join(heavy, ["_family", "_bucket"], "left")
-    fan = F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    fan = F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.col("_hot") - 1)).otherwise(F.array(F.lit(0))))
     own = own.withColumn("_salt", fan).drop("_hot", "path")
 
     part = ["_family", "_bucket", "_salt"]

@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of a heavy key that one task takes.
+SALT_ROWS = 200_000
+
 
 def heavy_keys(df: DataFrame, keys: list[str], share: float = 0.005) -> DataFrame:
     """Keys that hold at least ``share`` of all rows, with their counts.
@@ -24,7 +27,7 @@ def heavy_keys(df: DataFrame, keys: list[str], share: float = 0.005) -> DataFram
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", salts: int = 16, share: float = 0.005, spread_by: str | None = None, keys_of: DataFrame | None = None) -> DataFrame:
-    """Equi-join in which ``left`` rows of heavy keys are spread over ``salts`` tasks.
+    """Equi-join in which ``left`` rows of heavy keys are spread over tasks, one for each ``SALT_ROWS`` of them, ``salts`` at least.
 
     Only ``right`` rows of those (at most ``1/share``) keys are replicated, so
     the right side grows by a bounded amount when its keys are few per heavy
@@ -34,8 +37,8 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     left side's key columns that is cheaper to read than the left side itself.
     Null keys follow the rules of Spark's equi-joins.
     """
-    heavy = F.broadcast(heavy_keys((left if keys_of is None else keys_of).select(*keys), keys, share).select(*keys, F.lit(True).alias("_heavy")))
+    heavy = F.broadcast(heavy_keys((left if keys_of is None else keys_of).select(*keys), keys, share).select(*keys, F.greatest(F.lit(salts), F.ceil(F.col("_n") / SALT_ROWS)).cast("int").alias("_heavy")))
     spread = [F.col(spread_by)] if spread_by else [F.col(c) for c, t in left.dtypes if not t.startswith("map")]
-    a = left.join(heavy, keys, "left").withColumn("_salt", F.when(F.col("_heavy"), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))).drop("_heavy")
-    b = right.join(heavy, keys, "left").withColumn("_salt", F.explode(F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))).drop("_heavy")
+    a = left.join(heavy, keys, "left").withColumn("_salt", F.when(F.col("_heavy").isNotNull(), F.pmod(F.xxhash64(*spread), F.col("_heavy")).cast("int")).otherwise(F.lit(0))).drop("_heavy")
+    b = right.join(heavy, keys, "left").withColumn("_salt", F.explode(F.when(F.col("_heavy").isNotNull(), F.sequence(F.lit(0), F.col("_heavy") - 1)).otherwise(F.array(F.lit(0))))).drop("_heavy")
     return a.join(b, [*keys, "_salt"], how).drop("_salt")
