@@ -98,9 +98,11 @@ def _passes(upto, have, weight, repeats, horizon: float):
 class Mix:
     """Result of :func:`mix_sources`: chosen documents and shares."""
 
-    def __init__(self, chosen: DataFrame, shares: DataFrame):
+    def __init__(self, chosen: DataFrame, shares: DataFrame, longest: DataFrame):
         self.chosen = chosen
         self.shares = shares
+        #: ``source, longest``: tokens of each target's longest document.
+        self.longest = longest
 
 
 def mix_sources(sized: DataFrame, targets: DataFrame, materialise, budget: int | None = None, seed: str = "mix") -> Mix:
@@ -178,4 +180,4 @@ def mix_sources(sized: DataFrame, targets: DataFrame, materialise, budget: int |
     shares = t.select("source", "target_share", "max_repeats", F.coalesce("_w", F.lit(0.0)).alias("share_of_available")).join(got, "source", "left").na.fill(0, ["n_documents", "tokens"])
     share = F.try_divide(F.col("tokens"), F.sum("tokens").over(Window.partitionBy(F.lit(1))))
     shares = shares.withColumn("share", F.coalesce(share, F.lit(0.0)))
-    return Mix(chosen, shares.select("source", "target_share", "max_repeats", "n_documents", "tokens", "share", "share_of_available"))
+    return Mix(chosen, shares.select("source", "target_share", "max_repeats", "n_documents", "tokens", "share", "share_of_available"), t.select("source", F.coalesce("_top", F.lit(0)).alias("longest")))
