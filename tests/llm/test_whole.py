@@ -92,3 +92,30 @@ def test_refusals_of_any_length(spark):
     long = " ".join(["I'm sorry, but I can't describe this image. Thank you for understanding."] * 12)
     answering = long + " The label on the red kite near the gate reads Nofesi."
     assert flagged(spark, [*short, long, answering]) == dict.fromkeys([*short, long], "refusal")
+
+
+def shuffled(spark, after=-1):
+    """Bytes that the stages after number ``after`` wrote to shuffles, and the last number."""
+    context = spark.sparkContext._jsc.sc()
+    context.listenerBus().waitUntilEmpty()
+    jvm = spark.sparkContext._jvm
+    stages = context.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    stages = [stages.apply(i) for i in range(stages.size())]
+    return sum(x.shuffleWriteBytes() for x in stages if x.stageId() > after), max([after, *(x.stageId() for x in stages)])
+
+
+def test_texts_without_candidate_are_not_moved(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"{rng.getrandbits(48):x}" for _ in range(1500))) for i in range(200)]
+    rows += [(1000 + i, rows[i][1].replace(" a", " b")) for i in range(2)] + [(2000, rows[7][1])]
+    df = materialise(spark.createDataFrame(rows, "id long, text string").repartition(4))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the candidates are too many
+    try:
+        before = shuffled(spark)[1]
+        found = near.near_duplicates(df, materialise)
+        moved = shuffled(spark, before)[0]
+        assert {(r.rec_a, r.rec_b) for r in near.expanded(found).collect()} == {(0, 1000), (1, 1001), (7, 2000)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert 0 < moved < 0.25 * sum(len(t) for _, t in rows)

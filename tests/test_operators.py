@@ -123,6 +123,19 @@ def test_salted_join_spreads_and_keeps_all_rows(spark):
     assert skew.heavy_keys(left.limit(0), ["k"]).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 5000])
+def test_narrowed_keeps_all_rows_that_match(spark, most):
+    df = spark.range(-20_000, 20_000).select(F.when(F.col("id") != 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    keys = df.where("k % 10 = 3").select("k").union(spark.sql("SELECT 13L"))
+    matching, rest = df.join(keys, "k", "left_semi"), df.join(keys, "k", "left_anti")
+    got = skew.narrowed(df, "k", keys, most)
+    assert got.columns == ["k", "v"] and matching.exceptAll(got).count() == 0 and got.count() < (2 * matching.count() if most else df.count())
+    got = skew.without(df, "k", keys, most)
+    assert got.count() == rest.count() and rest.exceptAll(got).count() == 0
+    none = keys.limit(0)
+    assert skew.narrowed(df, "k", none, most).count() == 0 and skew.without(df, "k", none, most).count() == df.count()
+
+
 CHAT = [
     ("ok", "coco/train2017/1.jpg", [("human", "q"), ("gpt", "a")]),
     ("tagged", "gqa/images/2.jpg", [("human", "see <image> q"), ("gpt", "a")]),
